@@ -50,7 +50,7 @@ def number(c: Column) -> Column:
     """A dot before exactly three digits groups thousands; otherwise dot and comma are decimal."""
     grouped = c.rlike(r"^[0-9]{1,3}(\.[0-9]{3})+(,[0-9]+)?$")
     s = F.when(grouped, F.translate(c, ",.", ".")).otherwise(F.translate(c, ",", "."))
-    return F.expr("cast(null as decimal(20,6))") if c is None else s.try_cast("decimal(20,6)")
+    return s.try_cast("decimal(20,6)")
 
 
 def spelling(c: Column) -> Column:
@@ -67,10 +67,13 @@ def strip_no_quantity(t: Column) -> Column:
 def measured(c: Column | str, is_plain: bool = False) -> Column:
     """The stated quantity of a text as ``struct(num, pack, spelling)``, or null.
 
+    ``is_plain``: ``c`` is a column that already went through ``plain`` and ``strip_no_quantity`` in an
+    earlier projection; many expressions use it, so it shouldn't be computed in each.
+
     A count of washes comes first, then products of two numbers in either order, then a weight or a
     volume, then any other unit, then amounts in words.
     """
-    t = strip_no_quantity(c if is_plain else plain(c))
+    t = (F.col(c) if isinstance(c, str) else c) if is_plain else strip_no_quantity(plain(c))
     g = lambda pat, i: F.regexp_extract(t, pat, i)
     one = F.lit(1)
     words = F.create_map(*[F.lit(x) for kv in WORD_AMOUNTS.items() for x in kv])
