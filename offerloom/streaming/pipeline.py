@@ -17,11 +17,17 @@ from offerloom.functions.barcode import clean_barcodes
 from offerloom.functions.collections import clean_item
 from offerloom.functions.text import strip_trailing_slash
 from offerloom.operators.sync import price_log, upsert
+from offerloom.session import _hadoop_path
 
 
 def item_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1) -> DataFrame:
-    """Items from a folder that grows."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    """Items from a folder that grows, or from one file of a folder."""
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    p, fs = _hadoop_path(spark, path)
+    if fs.getFileStatus(p).isFile():
+        folder, _, name = path.rpartition("/")
+        return r.option("pathGlobFilter", name).parquet(folder)
+    return r.parquet(path)
 
 
 def clean_batch(batch: DataFrame) -> DataFrame:
