@@ -35,15 +35,15 @@ def problem_queries() -> Q:
 
 P5_FOUND = r"""
 with s as (
-  select regexp_replace(link, '/$', '') as link, epoch_us(ts) as at, ord, price, coalesce(out_of_stock, false) as oos from items
+  select regexp_replace(link, '/$', '') as link, epoch_us(ts) as tm, ord, price, coalesce(out_of_stock, false) as oos from items
   union all
   select regexp_replace(link, '/$', ''), epoch_us(cast(regexp_replace(regexp_replace(regexp_replace(regexp_replace(e.value, 'T', ' '), 'Z$', ''), '^(\d+)\.(\d+)\.(\d{4})', '\3-\2-\1'), '^(\d{4})/(\d+)/(\d+)', '\1-\2-\3') as timestamp)), ord, e.key, false
   from (select link, ord, unnest(map_entries(historical_prices)) as e from raw_docs)),
-st as (select link, at, ord, case when oos or regexp_matches(price, '(?i)stokta\s+yok') then -1
-         else try_cast(replace(regexp_replace(lower(price), 'tl|try|[₺\s]', '', 'g'), ',', '.') as decimal(18,4)) end as state from s where link is not null and at is not null),
-one as (select link, at, arg_max(state, ord) as state from st where state = -1 or state > 0 group by link, at),
-v as (select *, lag(state) over (partition by link order by at) as before from one)
-select link, cast(floor(at / 1000000) as bigint) as valid_from from v where before is null or before <> state
+st as (select link, tm, ord, case when oos or regexp_matches(price, '(?i)stokta\s+yok') then -1
+         else try_cast(replace(regexp_replace(lower(price), 'tl|try|[₺\s]', '', 'g'), ',', '.') as decimal(18,4)) end as state from s where link is not null and tm is not null),
+one as (select link, tm, arg_max(state, ord) as state from st where state = -1 or state > 0 group by link, tm),
+v as (select *, lag(state) over (partition by link order by tm) as before from one)
+select link, cast(floor(tm / 1000000) as bigint) as valid_from from v where before is null or before <> state
 """
 
 
@@ -222,6 +222,7 @@ ORACLES = {
     "diff": "with l as (select link, ts, ord, price, market from items where link is not null), a as (select link, arg_max(struct_pack(price := price, market := market), struct_pack(ts := ts, ord := ord)) as r from l where ts < '2020-04-01' group by 1), b as (select link, arg_max(struct_pack(price := price, market := market), struct_pack(ts := ts, ord := ord)) as r from l where ts >= '2020-04-01' group by 1) select link, case when a.link is null then 'insert' when b.link is null then 'delete' else 'update' end as op from (select link, r from a) a full join (select link, r from b) b using (link) where a.link is null or b.link is null or a.r.price is distinct from b.r.price or a.r.market is distinct from b.r.market".replace("a.link is null", "a.r is null").replace("b.link is null", "b.r is null"),
     "price_log": "select link, price, strftime(max(ts), '%m/%d/%Y, %H:%M:%S') as last_seen from items where price is not null and link is not null group by 1, 2",
     "out_of_stock_marks": "select ord, link, market, case when market = 'kavsak' and link not in (select link from items where link is not null) then true else out_of_stock end as out_of_stock from raw_docs",
+    "stream_upserts": "select link, r.price as price, r.market as market from (select regexp_replace(link, '/$', '') as link, arg_max(struct_pack(price := nullif(price, ''), market := nullif(market, '')), struct_pack(ts := ts, ord := ord)) as r from items where link is not null group by 1)",
     "search_barcode": "select ord from skus where list_has_any(barcodes, ['2000000015828', '2000000004969'])",
     "inverted_index": f"select distinct p_partkey, unnest(list_filter({_W}, lambda t: length(t) > 1)) as token from part",
     "market_stats": "select r.market, count(*) as n_docs, count(*) filter (out_of_stock) as n_out, count(*) filter (cardinality(promoted) > 0) as n_promoted, count(*) filter (cardinality(variants) > 0) as n_variants, count(distinct variant_name) as n_variant_names, any_value(coalesce(n_barcodes, 0)) as n_barcodes from raw_docs r left join (select market, count(distinct b) as n_barcodes from (select market, unnest(barcodes) as b from raw_docs) group by 1) using (market) group by 1",
