@@ -51,8 +51,8 @@ def oracle_sql() -> dict[str, str]:
     any_of = "'" + "|".join(p.replace("'", "''") for p in pats.values()) + "'"
     return {
         "p1_found": f"""with recursive {P1_LINKS},
-          both as (select u, v from edges where u <> v union select v, u from edges where u <> v),
-          reach(doc_id, r) as (select u, u from both union select reach.doc_id, both.v from reach join both on reach.r = both.u where both.v < reach.r or true)
+          sides as (select u, v from edges where u <> v union select v, u from edges where u <> v),
+          reach(doc_id, r) as (select u, u from sides union select reach.doc_id, sides.v from reach join sides on reach.r = sides.u)
           select doc_id, min(r) as group_id from reach group by doc_id""",
         "p6_found": r"""
           with c as (
