@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from offerloom.constants import Config
-from offerloom.operators import edges, enrich, graph, history, prep, reports, sync, units
+from offerloom.operators import edges, enrich, graph, history, prep, reports, search, sync, units
 from offerloom.sources import connectors as cn
 
 DOC = "doc_id string, ord long, link string, name string, market string, price string, out_of_stock boolean, barcodes array<string>, historical_prices map<string,string>"
@@ -94,6 +94,33 @@ def test_subcats_and_deals(spark):
     assert [r.sku_id for r in reports.deals(s, Config()).collect()] == ["a"]
 
 
+def _edits(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_similar_pairs_against_brute_force(spark):
+    rng = random.Random(5)
+    names = {"cekentizi", "cekentzi", "ipek", "ab", ""} | {f"marka {x}{y}" for x in "abcdefgh" for y in "xyz"}
+    for base in ("deniz", "marka ipek sampuan", "kara orman balı", "aaaaaaaaaa", "parfum de la mer bleue eau de toilette"):
+        for _ in range(25):
+            w = list(base)
+            for _ in range(rng.randint(0, max(1, len(w) // 4))):
+                i = rng.randrange(len(w))
+                w[i : i + rng.randint(0, 1)] = rng.choice(["", "x", "a", " ", "ş"])
+            names.add("".join(w))
+    df = spark.createDataFrame([(x,) for x in names] + [(None,), ("ipek",)], "name string")
+    for least, hot in ((0.8, 100), (0.8, 1), (0.65, 0)):
+        want = {(a, b, r) for a in names for b in names if "" < a < b and (r := round(1 - _edits(a, b) / max(len(a), len(b)), 4)) >= least}
+        got = [tuple(r) for r in search.similar_pairs(df, least, hot).collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert search.similar_pairs(df.limit(0)).count() == 0
+
+
 def test_connectors(spark):
     src = cn.register("sevil", r'<div class="p">.*?</div>', {"link": r'href="([^"]+)"', "name": "<b>(.*?)</b>", "price": r"<i>(.*?)</i>", "src": r'src="([^"]+)"'})
     body = '<div class="p"><a href="/x"><b>Ad </b><i>12,50</i><img src="/2000000001302.jpg"></div><div class="p">nichts</div>'
