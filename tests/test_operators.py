@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from offerloom.constants import Config
-from offerloom.operators import edges, enrich, graph, history, prep, reports, search, sync, units
+from offerloom.operators import edges, enrich, graph, history, prep, reports, search, sync, topics, units
 from offerloom.sources import connectors as cn
 
 DOC = "doc_id string, ord long, link string, name string, market string, price string, out_of_stock boolean, barcodes array<string>, historical_prices map<string,string>"
@@ -121,6 +121,16 @@ def test_similar_pairs_against_brute_force(spark):
     assert search.similar_pairs(df.limit(0)).count() == 0
 
 
+def test_topics_use_all_documents(spark, monkeypatch):
+    made, real = [], topics.LDA
+    monkeypatch.setattr(topics, "LDA", lambda **kw: made.append(real(**kw)) or made[-1])
+    themes = ("sabun kopuk banyo", "cikolata seker kakao", "kalem defter silgi")
+    df = spark.createDataFrame([(" ".join([x, x]),) for x in themes for _ in range(10)] + [(None,), ("",)], "text string")
+    got = topics.lda_topics(df, k=3).collect()
+    assert {next(i for i, x in enumerate(themes) if set(r.term.split()) <= set(x.split())) for r in got} == {0, 1, 2}
+    assert made[0].getSubsamplingRate() == 1.0 and made[0].getMaxIter() * made[0].getSubsamplingRate() >= 10
+
+
 def test_connectors(spark):
     src = cn.register("sevil", r'<div class="p">.*?</div>', {"link": r'href="([^"]+)"', "name": "<b>(.*?)</b>", "price": r"<i>(.*?)</i>", "src": r'src="([^"]+)"'})
     body = '<div class="p"><a href="/x"><b>Ad </b><i>12,50</i><img src="/2000000001302.jpg"></div><div class="p">nichts</div>'
