@@ -1,10 +1,12 @@
 """Free-entered values mapped to a canonical list, in SQL only.
 
-Method: partition-based pigeonhole join. With k edits allowed, a reference form is cut into segments
-of which every value within k edits must hold one unchanged, shifted by at most k: 2k + 1 segments,
-because two neighbouring characters swapped count as one edit but may spoil two segments. Values and
-forms meet by equality on (kind, form length, segment number, segment text), are verified with the
-built-in ``levenshtein``, and the values that meet none are reported through an anti-join.
+Method: partition-based pigeonhole join. With k edits allowed, a reference form is cut into k + 1
+segments, of which every value within k edits must hold one unchanged, moved by no more than the
+edits allow. Two neighbouring characters swapped count as one edit and may spoil two segments, but
+only where they stand on either side of a cut: such pairs of the value are swapped back and probed
+too, with one edit less. Values and forms meet by equality on (kind, form length, segment number,
+segment text), are verified with the built-in ``levenshtein``, and the values that meet none are
+reported through an anti-join. Joins whose sides grow with the data are sort-merge joins.
 """
 
 from __future__ import annotations
@@ -114,37 +116,52 @@ def pigeonhole_join(spark: SparkSession, variants: DataFrame, forms: DataFrame)
     edits = EDITS.format(n="len")
     anagram = "length(s) = len and array_sort(split(s, '')) = array_sort(split(form, ''))"
     swapped = "concat(left(s, i - 1), substring(s, i + 1, 1), substring(s, i, 1), substring(s, i + 2))"
+    begins = "({i} * len div (k + 1))"
+    # a segment moves by d characters if d more were put in than taken out before it; n - len - d behind it
+    moves = "sequence(0 - (r - (n - len)) div 2, (r + (n - len)) div 2)"
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
     return spark.sql(
         f"""
-        with f as (select kind, ref_id, form, len, most, least({edits}, most) as k, least(2 * {edits} + 1, len) as parts from {{forms}}),
+        with f as (select kind, ref_id, form, len, least({edits}, most) as most, {edits} as k from {{forms}}),
         fs as (
-          select kind, ref_id, form, len, k, i,
-                 substring(form, (i * len div parts) + 1, ((i + 1) * len div parts) - (i * len div parts)) as seg
-          from f lateral view explode(sequence(0, parts - 1)) x as i
+          select kind, ref_id, form, len, most, i, substring(form, {begins.format(i="i")} + 1, {begins.format(i="(i + 1)")} - {begins.format(i="i")}) as seg
+          from f lateral view explode(sequence(0, least(k, len - 1))) x as i
         ),
         s as (select distinct kind, s, length(s) as n from {{variants}}),
-        sl as (select kind, s, n, len, {edits} as k, least(2 * {edits} + 1, len) as parts from s lateral view explode(sequence(greatest(1, n - {MOST}), n + {MOST})) x as len),
+        sl as (
+          select * from (select kind, s, n, len, {edits} as k from s lateral view explode(sequence(greatest(1, n - {MOST}), n + {MOST})) x as len)
+          where abs(n - len) <= k
+        ),
+        probes as (
+          select kind, s, s as t, n, len, k, k as r from sl
+          union all
+          select kind, s, concat(left(s, at - 1), substring(s, at + 1, 1), substring(s, at, 1), substring(s, at + 2)), n, len, k, r
+          from (
+            select *, {begins.format(i="b")} + d as at
+            from (select *, k - 1 as r from sl where k > 0 and abs(n - len) < k) lateral view explode(sequence(1, k)) x as b lateral view explode({moves}) y as d
+          ) where at between 1 and n - 1 and substring(s, at, 1) <> substring(s, at + 1, 1)
+        ),
         si as (
-          select kind, s, n, len, k, i, (i * len div parts) as at, ((i + 1) * len div parts) - (i * len div parts) as m
-          from sl lateral view explode(sequence(0, parts - 1)) x as i where abs(n - len) <= k
+          select kind, s, t, n, len, r, i, {begins.format(i="i")} as at, {begins.format(i="(i + 1)")} - {begins.format(i="i")} as m
+          from probes lateral view explode(sequence(0, least(k, len - 1))) x as i
         ),
         ss as (
-          select kind, s, len, i, substring(s, p + 1, m) as seg
-          from (select * from si where n - m >= greatest(0, at - k)) lateral view explode(sequence(greatest(0, at - k), least(n - m, at + k))) x as p
+          select distinct kind, s, len, i, substring(t, at + d + 1, m) as seg
+          from si lateral view explode({moves}) x as d where at + d >= 0 and at + d + m <= n
         ),
-        c as (select distinct ss.kind, ss.s, fs.ref_id, fs.form, fs.len, fs.k from ss join fs on ss.kind = fs.kind and ss.len = fs.len and ss.i = fs.i and ss.seg = fs.seg),
-        d as (select *, levenshtein(s, form, 2 * {MOST}) as e from c),
+        c as (select distinct ss.kind, ss.s, fs.ref_id, fs.form, fs.len, fs.most from ss join fs on ss.kind = fs.kind and ss.len = fs.len and ss.i = fs.i and ss.seg = fs.seg),
+        d as (select /*+ REPARTITION({tasks}, s, form) */ *, levenshtein(s, form, 2 * {MOST}) as e from c),
         g as (
           select kind, s, ref_id, case
               when e between 0 and 1 then e
               when e = 2 and {anagram} and exists(sequence(1, length(s) - 1), i -> {swapped} = form) then 1
               when e = 2 then 2
-              when e > 2 and k = 2 and exists(sequence(1, length(s) - 1), i -> levenshtein({swapped}, form) <= 1 or (levenshtein({swapped}, form) = 2 and {anagram})) then 2
-            end as edits, k
+              when e > 2 and most = 2 and exists(sequence(1, length(s) - 1), i -> levenshtein({swapped}, form) <= 1 or (levenshtein({swapped}, form) = 2 and {anagram})) then 2
+            end as edits, most
           from d where e >= 0
         ),
-        ok as (select kind, s, ref_id, min(edits) as edits from g where edits <= k group by kind, s, ref_id)
-        select v.kind, v.value, ok.ref_id, min(ok.edits) as edits
+        ok as (select kind, s, ref_id, min(edits) as edits from g where edits <= most group by kind, s, ref_id)
+        select /*+ MERGE(ok) */ v.kind, v.value, ok.ref_id, min(ok.edits) as edits
         from {{variants}} v join ok on v.kind = ok.kind and v.s = ok.s group by v.kind, v.value, ok.ref_id
         """,
         forms=forms,
@@ -166,7 +183,7 @@ def map_values(spark: SparkSession, values: DataFrame, ref_values: DataFrame) ->
         """
         select kind, value, b.ref_id as ref_id, b.edits as edits from {b}
         union all
-        select v.kind, v.value, cast(-1 as bigint) as ref_id, cast(null as int) as edits
+        select /*+ MERGE(b) */ v.kind, v.value, cast(-1 as bigint) as ref_id, cast(null as int) as edits
         from {v} v left anti join {b} b on v.kind = b.kind and v.value = b.value
         """,
         b=best,
@@ -195,4 +212,4 @@ def mapped_rows(spark: SparkSession, raw_docs: DataFrame, skus: DataFrame, ref_v
         r=ref_values.select("kind", "canonical"),
     )
     mapped = map_values(spark, rows, ref_values)
-    return spark.sql("select r.kind, r.ord, m.ref_id from {r} r join {m} m on r.kind = m.kind and r.value = m.value", r=rows, m=mapped)
+    return spark.sql("select /*+ MERGE(m) */ r.kind, r.ord, m.ref_id from {r} r join {m} m on r.kind = m.kind and r.value = m.value", r=rows, m=mapped)
