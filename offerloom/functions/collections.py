@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` names it.
+
+    The optimiser copies a column into every expression and pushed filter that uses it; a lambda's
+    variable can't be copied.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def dedup_denull(a: Column) -> Column:
     """Without nulls and repeats, first places kept."""
     return F.array_distinct(F.array_compact(a))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from offerloom.functions.collections import let
 from offerloom.functions.text import plain
 
 # --- fixed values: unit spellings (as ``plain`` leaves them), their common unit and factor ---------
@@ -43,6 +44,9 @@ IN_WORDS = rf"(?<![a-z])({'|'.join(sorted(WORD_AMOUNTS, key=len, reverse=True))}
 #: A number before any other word: a candidate for a unit spelling that is not listed.
 UNLISTED = rf"(?<![0-9.,a-z])({NUM}) ?([a-z]{{1,12}})\.?{_END}"
 
+#: Everything that may be read as a quantity, one pass over the text.
+_HITS = rf"(?<![0-9.,a-z])(?=[0-9])(?:{'|'.join((PACK_FIRST, PACK_LAST, SINGLE))})|{IN_WORDS}"
+
 MEASURED = "struct<num:decimal(20,6),pack:int,spelling:string>"
 
 
@@ -73,19 +77,25 @@ def measured(c: Column | str, is_plain: bool = False) -> Column:
     A count of washes comes first, then products of two numbers in either order, then a weight or a
     volume, then any other unit, then amounts in words.
     """
-    t = (F.col(c) if isinstance(c, str) else c) if is_plain else strip_no_quantity(plain(c))
+    text = (F.col(c) if isinstance(c, str) else c) if is_plain else strip_no_quantity(plain(c))
+    return let(text, lambda t: F.when(t.rlike(WASH), _made(number(F.regexp_extract(t, WASH, 1)), F.lit(1), F.lit("yikama"))).otherwise(
+        let(F.array_join(F.regexp_extract_all(t, F.lit(_HITS), F.lit(0)), "\n"), _read)))
+
+
+def _made(num: Column, pack: Column, unit: Column) -> Column:
+    return F.struct(num.alias("num"), pack.cast("int").alias("pack"), unit.alias("spelling"))
+
+
+def _read(t: Column) -> Column:
+    """The quantity among the hits ``t``, one a line."""
     g = lambda pat, i: F.regexp_extract(t, pat, i)
     one = F.lit(1)
     words = F.create_map(*[F.lit(x) for kv in WORD_AMOUNTS.items() for x in kv])
-
-    def made(num: Column, pack: Column, unit: Column) -> Column:
-        return F.struct(num.alias("num"), pack.cast("int").alias("pack"), unit.alias("spelling"))
-
     return (
-        F.when(t.rlike(WASH), made(number(g(WASH, 1)), one, F.lit("yikama")))
-        .when(t.rlike(PACK_FIRST), made(number(g(PACK_FIRST, 2)), g(PACK_FIRST, 1).try_cast("int"), spelling(g(PACK_FIRST, 3))))
-        .when(t.rlike(PACK_LAST), made(number(g(PACK_LAST, 1)), g(PACK_LAST, 3).try_cast("int"), spelling(g(PACK_LAST, 2))))
-        .when(t.rlike(MEASURE), made(number(g(MEASURE, 1)), one, spelling(g(MEASURE, 2))))
-        .when(t.rlike(SINGLE), made(number(g(SINGLE, 1)), one, spelling(g(SINGLE, 2))))
-        .when(t.rlike(IN_WORDS), made(words[g(IN_WORDS, 1)].cast("decimal(20,6)"), one, g(IN_WORDS, 2)))
+        F.when(t == "", F.lit(None).cast(MEASURED))
+        .when(t.rlike(PACK_FIRST), _made(number(g(PACK_FIRST, 2)), g(PACK_FIRST, 1).try_cast("int"), spelling(g(PACK_FIRST, 3))))
+        .when(t.rlike(PACK_LAST), _made(number(g(PACK_LAST, 1)), g(PACK_LAST, 3).try_cast("int"), spelling(g(PACK_LAST, 2))))
+        .when(t.rlike(MEASURE), _made(number(g(MEASURE, 1)), one, spelling(g(MEASURE, 2))))
+        .when(t.rlike(SINGLE), _made(number(g(SINGLE, 1)), one, spelling(g(SINGLE, 2))))
+        .when(t.rlike(IN_WORDS), _made(words[g(IN_WORDS, 1)].cast("decimal(20,6)"), one, g(IN_WORDS, 2)))
     )
