@@ -23,7 +23,7 @@ WORD_AMOUNTS = {"ceyrek": "0.25", "yarim": "0.5", "bir": "1", "bir bucuk": "1.5"
 #: Numbers that are no quantities: shades, percentages, factors and offers.
 NO_QUANTITY = (
     r"(?<![a-z])(?:no|ton|numara|renk)\b ?[:.]? ?[0-9]+(?![0-9])",
-    r"% ?[0-9]+(?:[.,][0-9]+)?|[0-9]+(?:[.,][0-9]+)? ?%",
+    r"% ?[0-9]+(?:[.,][0-9]+)?|[0-9]+(?:[.,][0-9]+)? ?%(?! ?[0-9])",
     r"(?<![a-z])(?:spf|ph|formul|faktor) ?[0-9]+(?:[.,][0-9]+)?\+?",
     r"(?<![0-9])[0-9]+ ?saat(?![a-z])",
     r"(?<![0-9])[0-9]+ ?al ?[0-9]+ ?ode(?![a-z])",
