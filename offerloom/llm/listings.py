@@ -1,12 +1,12 @@
 """Listings of one product, worded differently by their sellers.
 
-Method: identifiers are taken out and validated (GTIN check digits; brand; the part of a name that is
-neither brand, kind, description, quantity nor slogan: its line), normalised (disguises, languages of
-the kind, abbreviations, typing errors against the corpus's own spellings, units), and joined on
-reliable keys: brand, line, description, kind and variant (pack count and size of a pack, or shade
-number). A listing without a variant joins through a right barcode, that is one whose other listings
-agree with it in all else, or if its line has only one variant. The links make connected components,
-guarded because no link joins listings that contradict each other in any part of the key.
+Method: identifiers are taken out and validated (GTIN check digits; brand; part numbers; the words of
+a name that are neither brand, kind, quantity nor slogan: its line and description), normalised
+(disguises, languages of the kind, abbreviations, typing errors against the corpus's own spellings,
+units), and joined on reliable keys: brand, words, kind and variant (pack count and size of a pack, or
+shade number). A listing without a variant joins through a right barcode, that is one whose other
+listings agree with it in all else, or if its line has only one variant. The links make connected
+components, guarded because no link joins listings that contradict each other in any part of the key.
 
 Scale: one parse per listing, native expressions only; corrections join distinct spellings, not
 listings; keys meet in hash joins around a smallest member, so a group of n listings makes n - 1 links.
@@ -16,11 +16,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from offerloom.functions.barcode import gtin
+from offerloom.functions.collections import let
 from offerloom.functions.size import NO_QUANTITY, UNITS, measured
-from offerloom.functions.text import plain, tokens
+from offerloom.functions.text import is_mixed_token, plain, tokens
 from offerloom.llm.canonical import BRAND_AFTER, BRAND_BEFORE, pigeonhole_join
 from offerloom.llm.components import connected_components
 from offerloom.session import cut
@@ -35,7 +35,7 @@ KINDS = (
     ("toz deterjan", "washing powder"), ("yumusatici", "softener"), ("sivi bulasik deterjani", "dish liquid"), ("bulasik tableti", "dishwasher tabs"), ("yuzey temizleyici", "surface cleaner"),
     ("camasir suyu", "bleach"), ("kagit havlu", "paper towel"), ("tuvalet kagidi", "toilet paper"), ("filtre kahve", "filter coffee"), ("dokme cay", "loose tea"), ("meyve suyu", "fruit juice"),
     ("gazli icecek", "soft drink"), ("maden suyu", "mineral water"), ("yarim yagli sut", "half fat milk"), ("suzme yogurt", "strained yogurt"), ("kasar peyniri", "cheese"),
-    ("siyah zeytin", "black olives"), ("sizma zeytinyagi", "olive oil"), ("aycicek yagi", "sunflower oil"), ("burgu makarna", "fusilli pasta"), ("baldo pirinc", "rice"), ("biskuvi", "biscuit"),
+    ("siyah zeytin", "black olives"), ("sizma zeytinyagi", "olive oil"), ("aycicek yagi", "sunflower oil"), ("burgu makarna", "fusilli pasta"), ("baldo pirinc", "baldo rice"), ("biskuvi", "biscuit"),
     ("sutlu cikolata", "milk chocolate"), ("gofret", "wafer"), ("cicek bali", "flower honey"), ("cilek receli", "strawberry jam"), ("c vitamini", "vitamin c"), ("yara bandi", "plaster"),
 )
 SLOGANS = (
@@ -54,6 +54,10 @@ _N = r"[0-9]+(?:[.,][0-9]+)*"
 QUANTITY = rf"(?:(?<![0-9.,a-z])[0-9]+ ?[x*×] ?)?(?<![0-9.,])(?:{_N}) ?['’`]?(?:{_UNIT})(?![a-z0-9])\.?(?: ?[x*×] ?[0-9]+)?|(?<![a-z])(?:bir bucuk|iki bucuk|ceyrek|yarim|bir|iki|uc|dort|bes|on) (?:kilogram|kilo|kg|litre|lt)(?![a-z])"
 
 
+#: A word is read as a more frequent one if it is found no more than once beyond this share of the other's listings.
+OUTWEIGHS = 0.1
+
+
 def kind_forms() -> dict[str, str]:
     """Ways to write a kind, first words also cut to three letters and a dot, and the kind."""
     out = {}
@@ -66,31 +70,41 @@ def kind_forms() -> dict[str, str]:
     return out
 
 
+def _first(pat_hits: Column) -> Column:
+    return F.nullif(pat_hits, F.lit(""))
+
+
 def parse(raw_docs: DataFrame) -> DataFrame:
     """``doc_id, brand_typed, kind, shade, m, rest, codes``: one row a doc (that of the smallest ord), nothing else looked up.
 
-    ``rest`` holds the words that are neither kind, quantity, shade nor slogan. Null names stay out.
+    ``rest`` holds the words that are neither kind, quantity, shade nor slogan; ``codes`` the right
+    GTINs and, as part numbers, words that mix letters and digits. Null names stay out.
     """
     d = raw_docs.where("doc_id is not null and name is not null").groupBy("doc_id").agg(
         F.min(F.struct("ord", "name", "brand", "barcodes")).alias("d"))
-    d = d.select("doc_id", plain("d.name").alias("p"), plain("d.brand").alias("b"), F.col("d.barcodes").alias("barcodes"))
-    shade = F.coalesce(F.nullif(F.regexp_extract("p", SHADE, 1), F.lit("")), F.nullif(F.regexp_extract("p", SHADE, 2), F.lit("")))
-    d = d.select("doc_id", "b", "barcodes", "p", shade.alias("shade"))
-    q = F.regexp_replace("p", SHADE, " ")
-    for pat in NO_QUANTITY[1:]:
-        q = F.regexp_replace(q, pat, " ")
-    d = cut(d.select("doc_id", "b", "barcodes", F.ltrim("shade", F.lit("0")).alias("shade"), q.alias("q")))
     forms = kind_forms()
     kinds = F.create_map(*[F.lit(x) for kv in forms.items() for x in kv])
     one_of = "|".join(sorted((f.replace(".", "[.]") for f in forms), key=len, reverse=True))
     kind_at = rf"(?<![a-z])({one_of})(?![a-z])"
-    k = F.regexp_extract("r", kind_at, 1)
-    brand = F.regexp_replace(F.regexp_replace(F.regexp_replace("b", BRAND_BEFORE, ""), BRAND_AFTER, ""), BRAND_AFTER, "")
-    d = d.select("doc_id", brand.alias("brand_typed"), "barcodes", "shade", measured(F.col("q"), True).alias("m"), F.regexp_replace("q", QUANTITY, " ").alias("r"))
     slogan = rf"(?<![a-z])(?:{'|'.join(SLOGANS)})(?![a-z])"
-    rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("r", kind_at, " "), slogan, " "), r"[^a-z0-9]+|(?<![a-z0-9])[0-9]+(?![a-z0-9])", " ")
-    codes = F.array_distinct(F.array_compact(F.transform("barcodes", lambda c: gtin(c))))
-    return cut(d.select("doc_id", "brand_typed", kinds[k].alias("kind"), "shade", "m", tokens(rest).alias("rest"), codes.alias("codes")))
+
+    def words(r: Column) -> Column:
+        rest = F.regexp_replace(F.regexp_replace(F.regexp_replace(r, kind_at, " "), slogan, " "), r"[^a-z0-9]+|(?<![a-z0-9])[0-9]+(?![a-z0-9])", " ")
+        return F.struct(F.regexp_extract(r, kind_at, 1).alias("kind"), tokens(rest).alias("rest"))
+
+    def parts(p: Column) -> Column:
+        q = F.regexp_replace(p, SHADE, " ")
+        for pat in NO_QUANTITY[1:]:
+            q = F.regexp_replace(q, pat, " ")
+        shade = F.coalesce(_first(F.regexp_extract(p, SHADE, 1)), _first(F.regexp_extract(p, SHADE, 2)))
+        return F.struct(shade.alias("shade"), let(q, lambda x: F.struct(measured(x, True).alias("m"), let(F.regexp_replace(x, QUANTITY, " "), words).alias("w"))).alias("q"))
+
+    b = plain("d.brand")
+    brand = F.regexp_replace(F.regexp_replace(F.regexp_replace(b, BRAND_BEFORE, ""), BRAND_AFTER, ""), BRAND_AFTER, "")
+    d = d.select("doc_id", brand.alias("brand_typed"), let(plain("d.name"), parts).alias("x"), F.array_compact(F.transform("d.barcodes", lambda c: gtin(c))).alias("gtins"))
+    part_numbers = F.transform(F.filter("x.q.w.rest", is_mixed_token), lambda t: F.concat(F.lit("part "), t))
+    codes = F.array_distinct(F.concat(F.coalesce("gtins", F.array().cast("array<string>")), part_numbers))
+    return cut(d.select("doc_id", "brand_typed", kinds[F.col("x.q.w.kind")].alias("kind"), F.ltrim("x.shade", F.lit("0")).alias("shade"), F.col("x.q.m").alias("m"), F.col("x.q.w.rest").alias("rest"), codes.alias("codes")))
 
 
 def with_brands(parsed: DataFrame) -> DataFrame:
@@ -117,52 +131,64 @@ def with_brands(parsed: DataFrame) -> DataFrame:
     return cut(got.select("doc_id", "brand", "kind", "shade", "m", F.array_except("rest", words).alias("rest"), "codes"))
 
 
-def with_lines(branded: DataFrame, common_share: float = 0.05, common_least: int = 4) -> DataFrame:
-    """Adds ``description`` (words that many brands use) and ``line`` (the others), spelling corrected.
+def with_words(branded: DataFrame) -> DataFrame:
+    """Adds ``words``: the line and the description of a name in order, the spelling corrected.
 
-    A line becomes the most frequent spelling within its edits among lines of the same brand and
-    description. A listing without a brand takes that of the only brand with its line and description.
+    The rarest word of a name is checked against the words that stand with all its other words in
+    listings of the same brand; of those within the allowed edits it becomes the one most frequent in
+    the corpus, if that outweighs it (``OUTWEIGHS``). So neither a list nor a share of brands tells line
+    and description words apart, and two words that are both in use stay two. A listing without a brand
+    takes that of the only brand whose listings have its words, read in the same way.
     """
     spark = branded.sparkSession
-    n_brands = branded.select("brand").distinct().count()
-    least = max(common_least, int(n_brands * common_share))
-    used = branded.select("brand", F.explode("rest").alias("word")).where("brand is not null").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    each = branded.select("doc_id", F.explode("rest").alias("word")).join(used, "word", "left")
-    split = each.groupBy("doc_id").agg(
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("n").isNotNull(), F.col("word")))), " ").alias("description"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("n").isNull(), F.col("word")))), " ").alias("line"),
-    )
-    d = cut(branded.drop("rest").join(split, "doc_id"))
-
-    def corrected(scope: list[str]) -> DataFrame:
-        """``*scope, line, right`` (with its brand where the scope has none)."""
-        key = F.concat_ws("|", *scope)
-        spelt = d.where("brand is not null and line <> ''").groupBy(key.alias("kind"), F.regexp_replace("line", " ", "").alias("form"), "line", "brand").agg(F.count(F.lit(1)).alias("n"))
-        forms = cut(spelt.select("kind", F.concat_ws("\t", "brand", "line").alias("ref_id"), "form", F.length("form").alias("len"), F.lit(2).alias("most"), "n"))
-        seen = d.where("line <> ''") if "brand" in scope else d.where("brand is null and line <> ''")
-        variants = cut(seen.select(key.alias("kind"), F.col("line").alias("value"), F.regexp_replace("line", " ", "").alias("s")).distinct())
-        hits = pigeonhole_join(spark, variants, forms.select("kind", "ref_id", "form", "len", "most")).join(forms.select("kind", "ref_id", "n"), ["kind", "ref_id"])
-        best = hits.groupBy("kind", "value").agg(F.max(F.struct("n", (-F.col("edits")).alias("e"), "ref_id")).alias("b"), F.countDistinct(F.when(F.col("edits") == 0, F.col("ref_id"))).alias("exact"))
-        return best.select("kind", F.col("value").alias("line"), F.split("b.ref_id", "\t").alias("r"), "exact")
-
-    key = F.concat_ws("|", "brand", "description")
-    right = corrected(["brand", "description"]).select(F.col("kind").alias("k1"), "line", F.get("r", F.lit(1)).alias("right"))
-    other = corrected(["description"]).where("exact <= 1").select(F.col("kind").alias("k2"), "line", F.get("r", F.lit(0)).alias("brand2"), F.get("r", F.lit(1)).alias("right2"))
-    known = d.where("brand is not null").withColumn("k1", key).join(right, ["k1", "line"], "left").withColumn("line", F.coalesce("right", "line"))
-    lost = d.where("brand is null").join(other.withColumnRenamed("k2", "description"), ["description", "line"], "left").withColumn("brand", F.col("brand2")).withColumn("line", F.coalesce("right2", "line"))
-    cols = ["doc_id", "brand", "kind", "description", "line", "shade", "m", "codes"]
-    return cut(known.select(*cols).unionByName(lost.select(*cols)))
+    each = branded.select("doc_id", F.explode("rest").alias("word"))
+    seen = each.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counted = each.join(seen, "word").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("n", "word"))).alias("ws"))
+    d = branded.drop("rest").join(counted, "doc_id", "left")
+    names = F.array_sort(F.transform("ws", lambda x: x["word"]))
+    rare = F.get("ws", F.lit(0))
+    d = cut(d.select(*branded.drop("rest").columns, "ws", F.coalesce(names, F.array().cast("array<string>")).alias("names"), rare["word"].alias("rare"), rare["n"].alias("n_rare")))
+    found = d.select("brand", "names", F.explode("ws").alias("x")).select("brand", "x.word", "x.n", F.array_join(F.array_remove("names", F.col("x.word")), " ").alias("others"))
+
+    def corrected(own_brand: bool) -> DataFrame:
+        """``brand, others, rare, to`` (``to`` with its brand): what a rarest word is read as."""
+        scope = F.concat_ws("|", "brand", "others") if own_brand else F.col("others")
+        has = F.col("brand").isNotNull()
+        spelt = found.where(has).select(scope.alias("kind"), F.concat_ws("\t", "brand", "word").alias("ref_id"), "word", "n").distinct()
+        asks = d.where(has if own_brand else ~has).where("rare is not null").withColumn("others", F.array_join(F.array_remove("names", F.col("rare")), " "))
+        asks = asks.select(scope.alias("kind"), F.col("rare").alias("value"), F.col("rare").alias("s"), "n_rare").distinct()
+        if own_brand:  # where no other word outweighs it, a word stays as it is
+            top = spelt.groupBy("kind").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("top")).where("c > 1")
+            asks = asks.join(top, "kind").where(F.col("n_rare") - 1 <= OUTWEIGHS * F.col("top")).drop("c", "top")
+        asks = cut(asks)
+        spelt = spelt.join(asks.select("kind").distinct(), "kind", "left_semi")
+        forms = cut(spelt.select("kind", "ref_id", F.col("word").alias("form"), F.length("word").alias("len"), F.lit(2).alias("most")))
+        hits = cut(pigeonhole_join(spark, asks.select("kind", "value", "s"), forms))
+        hits = hits.withColumn("word", F.element_at(F.split("ref_id", "\t"), -1)).join(seen, "word").join(asks.select("kind", "value", "n_rare"), ["kind", "value"])
+        right = (F.col("word") == F.col("value")) | ((F.struct("n", "word") > F.struct("n_rare", "value")) & (F.col("n_rare") - 1 <= OUTWEIGHS * F.col("n")))
+        best = hits.where(right).groupBy("kind", "value").agg(F.max(F.struct("n", "ref_id"))["ref_id"].alias("to"), F.countDistinct(F.substring_index("ref_id", "\t", 1)).alias("brands"))
+        return best if own_brand else best.where("brands = 1")
+
+    put = lambda to: F.array_join(F.array_sort(F.array_append(F.array_remove("names", F.col("rare")), to)), " ")
+    d = d.withColumn("others", F.array_join(F.array_remove("names", F.col("rare")), " "))
+    word = F.element_at(F.split("to", "\t"), -1)
+    own = d.where("brand is not null").withColumn("kind_", F.concat_ws("|", "brand", "others")).join(corrected(True).select(F.col("kind").alias("kind_"), F.col("value").alias("rare"), "to"), ["kind_", "rare"], "left")
+    lost = d.where("brand is null").join(corrected(False).select(F.col("kind").alias("others"), F.col("value").alias("rare"), "to"), ["others", "rare"], "left")
+    lost = lost.withColumn("brand", F.get(F.split("to", "\t"), F.lit(0)))
+    words = F.when(F.col("to").isNull(), F.array_join("names", " ")).otherwise(put(word))
+    cols = ["doc_id", "brand", "kind", words.alias("words"), "shade", "m", "codes"]
+    return cut(own.select(*cols).unionByName(lost.select(*cols)))
 
 
 def with_variants(d: DataFrame) -> DataFrame:
-    """``doc_id, family, variant, codes``: the family is brand, line, description and kind.
+    """``doc_id, family, variant, codes``: the family is brand, line and description words, and kind.
 
     Sizes in ounces and pounds, which sellers round to a tenth, become the metric size of the family
     (or else of the corpus) that rounds to them.
     """
     spark = d.sparkSession
     units = spark.createDataFrame([(u, b, float(f), u in ("oz", "ounce", "lb", "lbs", "fl oz")) for u, (b, f) in UNITS.items()], "spelling string, base string, factor double, imperial boolean")
-    fam = F.concat_ws("|", "brand", "line", "description", F.coalesce("kind", F.lit("")))
+    fam = F.concat_ws("|", "brand", "words", F.coalesce("kind", F.lit("")))
     x = d.withColumn("family", F.when(F.col("brand").isNotNull(), fam)).withColumn("spelling", F.col("m.spelling")).join(F.broadcast(units), "spelling", "left")
     x = x.withColumn("num", F.col("m.num").cast("double")).withColumn("size", F.round(F.col("num") * F.col("factor"), 2))
     x = cut(x.select("doc_id", "family", "shade", "base", "imperial", "num", "factor", "size", F.col("m.pack").alias("pack"), "codes"))
@@ -177,24 +203,32 @@ def with_variants(d: DataFrame) -> DataFrame:
     return cut(y.select("doc_id", "family", variant.alias("variant"), "codes"))
 
 
-def product_keys(raw_docs: DataFrame) -> DataFrame:
-    """``doc_id, family, variant``, the variant filled in through a right barcode or an only variant."""
-    d = with_variants(with_lines(with_brands(parse(raw_docs)))).where("family is not null")
-    known = d.where("variant is not null")
+def product_links(raw_docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``family, variant, doc_id`` of the listings that state all, and the links ``src, dst`` that make the groups.
+
+    - listings of one family and variant link to the first of them;
+    - a listing without a variant links through a code (a right GTIN or a part number) to the first
+      listing of its family and of the variant most often sold under that code;
+    - else, if its family has only one variant, to the first listing of that.
+    Guard: every link stays in one family, and a listing without a variant gets one link only, so no
+    chain of links joins two variants or families whatever codes they share.
+    """
+    d = with_variants(with_words(with_brands(parse(raw_docs)))).where("family is not null")
+    known, lacking = d.where("variant is not null"), d.where("variant is null")
+    hub = cut(known.groupBy("family", "variant").agg(F.min("doc_id").alias("src")))
     by_code = known.select("family", F.explode("codes").alias("code"), "variant").groupBy("family", "code", "variant").agg(F.count(F.lit(1)).alias("n"))
-    code_says = by_code.groupBy("family", "code").agg(F.max(F.struct("n", "variant"))["variant"].alias("said"))
-    lacking = d.where("variant is null")
-    told = lacking.select("doc_id", "family", F.explode("codes").alias("code")).join(code_says, ["family", "code"]).groupBy("doc_id").agg(F.min("said").alias("said"))
-    only = known.select("family", "variant").distinct().groupBy("family").agg(F.min("variant").alias("only"), F.count(F.lit(1)).alias("n")).where("n = 1").select("family", "only")
+    code_says = by_code.groupBy("family", "code").agg(F.max(F.struct("n", "variant")).alias("best"))
+    told = lacking.select("doc_id", "family", F.explode("codes").alias("code")).join(code_says, ["family", "code"]).groupBy("doc_id").agg(F.max("best")["variant"].alias("said"))
+    only = hub.groupBy("family").agg(F.min("variant").alias("only"), F.count(F.lit(1)).alias("n")).where("n = 1").select("family", "only")
     filled = lacking.select("doc_id", "family").join(told, "doc_id", "left").join(only, "family", "left").select("doc_id", "family", F.coalesce("said", "only").alias("variant"))
-    return cut(known.select("doc_id", "family", "variant").unionByName(filled).where("variant is not null"))
+    members = known.select("doc_id", "family", "variant").unionByName(filled.where("variant is not null"))
+    links = members.join(hub, ["family", "variant"]).where("doc_id <> src").select("src", F.col("doc_id").alias("dst"))
+    return hub, links
 
 
 def product_groups(raw_docs: DataFrame) -> DataFrame:
     """``doc_id, product``: docs of one product share the smallest doc_id; docs alone are left out."""
-    keys = product_keys(raw_docs)
-    hub = keys.groupBy("family", "variant").agg(F.min("doc_id").alias("src"))
-    links = keys.join(hub, ["family", "variant"]).where("doc_id <> src").select("src", F.col("doc_id").alias("dst"))
+    _, links = product_links(raw_docs)
     return connected_components(links).select(F.col("node").alias("doc_id"), F.col("group_id").alias("product"))
 
 
@@ -202,7 +236,8 @@ def same_product_pairs(raw_docs: DataFrame) -> DataFrame:
     """``doc_a, doc_b`` (a before b): each pair of different docs that offer the same product.
 
     Null names and ids stay out; repeated rows of a doc count once; an empty table gives no pair. The
-    pairs of a group are its result, so their number is that of the result.
+    pairs of a group are its result, so their number is that of the result; ``product_groups`` gives
+    the membership alone.
     """
     g = cut(product_groups(raw_docs))
     a, b = g.select("product", F.col("doc_id").alias("doc_a")), g.select("product", F.col("doc_id").alias("doc_b"))

@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": _q(components.offer_groups, "raw_docs", "skus"),
         "p2_found": _q(listings.same_product_pairs, "raw_docs"),
+        "p2_groups": _q(listings.product_groups, "raw_docs"),
         "p4_found": lambda s, d: canonical.mapped_rows(s, table(s, d, "raw_docs"), table(s, d, "skus"), table(s, d, "ref_values")),
         "p6_found": _q(fusion.surviving_records, "skus", "market_trust"),
         "p6_fused": _q(fusion.fuse, "skus"),

@@ -119,6 +119,41 @@ def test_listings(spark):
     assert listings.same_product_pairs(df.limit(0)).count() == 0
 
 
+def made_listings(n_brands: int, per_brand: int, seed: int = 5):
+    """Listings of known products under many brands, a few misspelt; lines recur with other brands."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(4))
+    brands, lines = [word() for _ in range(n_brands)], [word() + "t" for _ in range(12)]
+    adjectives, nouns = ["serin", "derin", "gece", "taze"], ["limon", "aloe", "badem"]
+    rows, product = [], {}
+    for b in brands:
+        for i in range(per_brand):
+            line, a, x, size = rng.choice(lines), rng.choice(adjectives), rng.choice(nouns), rng.choice((250, 500))
+            for seller in range(3):
+                at = rng.randrange(1, len(line))
+                typed = line[:at] + line[at + 1 :] if seller == 2 and i % 5 == 0 else line
+                doc = f"{len(rows):06d}"
+                forms = (f"{b} {typed} {a} {x} Şampuan {size} ml", f"{typed} {a} {x} {b} Shampoo {size / 1000:g} lt".upper(), f"{b} Şampuan {typed} {a} {x} {size} cc Hızlı Kargo")
+                rows.append((doc, forms[seller], b, None, None, len(rows), ""))
+                product.setdefault((b, line, a, x, size), set()).add(doc)
+    pairs = {(p, q) for docs in product.values() for p in docs for q in docs if p < q}
+    return rows, pairs
+
+
+@pytest.mark.parametrize("n_brands", [4, 40])
+def test_listings_recall_at_two_sizes(spark, n_brands):
+    """Lines that many brands use keep their spelling correction: recall doesn't fall with the number of brands."""
+    rows, want = made_listings(n_brands, 10)
+    got = {tuple(r) for r in listings.same_product_pairs(spark.createDataFrame(rows, DOCS)).collect()}
+    assert len(got & want) >= 0.97 * len(want) and len(got & want) >= 0.99 * len(got)
+
+
+def test_part_numbers_give_the_variant(spark):
+    rows = [("a", "Cunarnot Cekentizi XK4410B Şampuan 500 ml", "Cunarnot"), ("b", "Cunarnot Cekentizi XK4410B Şampuan 250 ml", "Cunarnot"), ("c", "Cunarnot Cekentizi XK4410B Şampuan", "Cunarnot"), ("d", "Cunarnot Cekentizi XK4410B Şampuan 0,5 lt", "Cunarnot")]
+    df = spark.createDataFrame([(*r, None, None, i, "") for i, r in enumerate(rows)], DOCS)
+    assert {tuple(r) for r in listings.product_groups(df).collect()} == {("a", "a"), ("c", "a"), ("d", "a")}
+
+
 def test_pii(spark):
     texts = [f"Sayın yetkili, ben Emre Korvan{e}. Siparişim 63377549{i} numaralıydı. Tel: 0532 555 00 {i}{i}. barkod 200000509414{i}" for i in range(5) for e in ("oğlu", "lı", "er")]
     texts += [f"regards, Grace Ashmer{e}. call me on 212-555-012{i}; write to g.ash{i} [at] mail[.]example.net" for i in range(5) for e in ("wick", "stow")]
