@@ -1,18 +1,24 @@
 """Versions of entities whose attributes change, from sightings, by Merkle comparison.
 
-Each calendar day closes a snapshot of all links. A snapshot is the root of a tree over hash buckets of
-links: a leaf is the digest of a link's state, a node the exclusive-or of the digests below it. Because
-links that weren't seen keep their digest, the difference of two neighbouring snapshots is the
-exclusive-or of the changed leaves alone, so both trees are compared without being built in full: the
-comparison starts at the root of each day, goes down only where a node differs, and only the links
-under differing leaf buckets are diffed row by row, which appends their new versions.
-
-Scale: rows are grouped by (link, day), never by link alone, so a link with a third of all rows spreads
-over its days; per link only one row a day meets. A bucket level is at most days × buckets rows.
+Each calendar day closes a snapshot of all links. A snapshot is a tree over hash buckets of links: a
+leaf is the digest of a link's state, a node the exclusive-or of the digests below it. A link's digest
+depends on its state alone, so a link that wasn't seen, or was seen unchanged, has the same digest in
+both of two neighbouring snapshots; a day on which it passed through other states has a digest of
+these. Links not seen on a day add the same to both trees and are left out of both.
+
+Neighbouring snapshots are compared from the root down: one digest pair a day; under the days that
+differ one pair for each branch; under the branches that differ one pair for each leaf bucket of some
+``LINKS_A_BUCKET`` links. Only sightings under differing leaf buckets are read and diffed row by row,
+which finds and appends the new versions; the digests decide nothing else.
+
+Scale: sightings are grouped by (link, day), so a link with a third of all rows spreads over its days;
+only the one row a link has a day meets by link. Every level's digests are partially aggregated.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -20,8 +26,8 @@ from pyspark.sql.window import Window as W
 from offerloom.functions.text import strip_trailing_slash
 from offerloom.session import cut
 
-#: Bits of a bucket number at the leaves, and bits decided at each level of the tree.
-LEAF_BITS, LEVEL_BITS = 12, 4
+#: Links that a leaf bucket holds on average.
+LINKS_A_BUCKET = 16
 OUT_OF_STOCK = -1
 DAY = 86_400_000_000
 # Fixed value: the text that stands for a price when an offer is out of stock.
@@ -76,29 +82,41 @@ def one_per_time(rows: DataFrame) -> DataFrame:
     return best.select("link", "at", F.floor(F.col("at") / DAY).cast("int").alias("day"), F.col("m.state").alias("state"))
 
 
-def snapshot_leaves(rows: DataFrame) -> DataFrame:
-    """A row for each link and day: the state carried in, that carried out, and the digest difference."""
-    day = rows.groupBy("link", "day").agg(F.min("state").alias("lo"), F.max("state").alias("hi"), F.max(F.struct("at", "state"))["state"].alias("last"), F.min("at").alias("first_at"))
-    before = F.lag("last").over(W.partitionBy("link").orderBy("day"))
-    day = day.withColumn("carried", before)
-    same = F.coalesce((F.col("lo") == F.col("hi")) & (F.col("lo") == F.col("carried")), F.lit(False))
-    old = F.when(F.col("carried").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("link", "carried"))
-    new = F.when(same, old).otherwise(F.xxhash64("link", "day", "lo", "hi", "last"))
-    return day.select("link", "day", "carried", F.pmod(F.xxhash64("link"), F.lit(1 << LEAF_BITS)).cast("int").alias("bucket"), old.bitwiseXOR(new).alias("delta"))
+def leaf_bits(rows: DataFrame) -> int:
+    """Bits of a leaf bucket's number, even so that a branch has half of them: buckets grow in number with the links, not in size."""
+    links = rows.agg(F.approx_count_distinct("link")).first()[0]
+    return 2 * max(1, math.ceil(math.log2(max(links, 1) / LINKS_A_BUCKET + 1) / 2))
+
+
+def snapshot_leaves(rows: DataFrame, bits: int) -> DataFrame:
+    """``link, day, bucket, carried, old, new``: the digests of a seen link in the snapshots before and after the day, and the state it came with (null: none)."""
+    day = rows.groupBy("link", "day").agg(F.min("state").alias("lo"), F.max("state").alias("hi"), F.max(F.struct("at", "state"))["state"].alias("last"))
+    still = F.xxhash64("link", "last")
+    new = F.when(F.col("lo") == F.col("hi"), still).otherwise(F.xxhash64("link", "lo", "hi", "last"))
+    by_link = W.partitionBy("link").orderBy("day")
+    old = F.coalesce(F.lag("still").over(by_link), F.lit(0).cast("long"))
+    bucket = F.pmod(F.xxhash64("link", F.lit("bucket")), F.lit(1 << bits)).cast("int")
+    day = day.select("link", "day", "last", still.alias("still"), new.alias("new"))
+    return day.select("link", "day", bucket.alias("bucket"), F.lag("last").over(by_link).alias("carried"), old.alias("old"), "new")
+
+
+def differing_buckets(leaves: DataFrame, bits: int) -> DataFrame:
+    """``day, bucket`` of the leaf buckets whose digests differ from the day before, found from the root down."""
+    branch = F.shiftright("bucket", bits // 2).alias("branch")
+    differs = F.bit_xor("old") != F.bit_xor("new")
+    days = leaves.groupBy("day").agg(differs.alias("d")).where("d").select("day")
+    under = leaves.join(days, "day", "left_semi")
+    branches = under.groupBy("day", branch).agg(differs.alias("d")).where("d").select("day", "branch")
+    under = leaves.withColumn("branch", branch).join(branches, ["day", "branch"], "left_semi")
+    return under.groupBy("day", "bucket").agg(differs.alias("d")).where("d").select("day", "bucket")
 
 
-def differing_buckets(leaves: DataFrame) -> DataFrame:
-    """``day, bucket`` of the leaf buckets that differ from the day before, found from the root down."""
-    level = leaves.groupBy("day", "bucket").agg(F.bit_xor("delta").alias("x"))
-    levels = [level]
-    for bits in range(LEAF_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
-        level = level.groupBy("day", F.shiftright("bucket", LEVEL_BITS).alias("bucket")).agg(F.bit_xor("x").alias("x")) if bits else level.groupBy("day", F.lit(0).alias("bucket")).agg(F.bit_xor("x").alias("x"))
-        levels.append(level)
-    differ = levels[-1].where("x <> 0").select("day", F.col("bucket").alias("parent"))
-    for level in reversed(levels[:-1]):
-        below = level.where("x <> 0").withColumn("parent", F.shiftright("bucket", LEVEL_BITS))
-        differ = below.join(differ, ["day", "parent"], "left_semi").select("day", F.col("bucket").alias("parent"))
-    return differ.select("day", F.col("parent").alias("bucket"))
+def rows_to_diff(rows: DataFrame) -> DataFrame:
+    """``link, day, at, state, carried``: the sightings under differing leaf buckets, with the state their link came with."""
+    bits = leaf_bits(rows)
+    leaves = cut(snapshot_leaves(rows, bits))
+    changed = leaves.join(differing_buckets(leaves, bits), ["day", "bucket"], "left_semi").select("link", "day", "carried")
+    return rows.join(changed, ["link", "day"])
 
 
 def versions(items: DataFrame, raw_docs: DataFrame) -> DataFrame:
@@ -108,10 +126,7 @@ def versions(items: DataFrame, raw_docs: DataFrame) -> DataFrame:
     Links lose one trailing slash; sightings without stock sign and positive price are ignored; a null
     flag is in stock; repeated rows count once; empty tables give an empty history.
     """
-    rows = cut(one_per_time(sightings(items, raw_docs)))
-    leaves = cut(snapshot_leaves(rows))
-    changed = leaves.join(differing_buckets(leaves), ["day", "bucket"], "left_semi").where("delta <> 0").select("link", "day", "carried")
-    near = rows.join(changed, ["link", "day"])
+    near = rows_to_diff(cut(one_per_time(sightings(items, raw_docs))))
     before = F.coalesce(F.lag("state").over(W.partitionBy("link", "day").orderBy("at")), F.col("carried"))
     return near.withColumn("before", before).where("before is null or before <> state").select("link", "at", "state", "day")
 

@@ -1,12 +1,14 @@
 """Quantities in common units, with conversions estimated between the sources that state them.
 
-A source is a unit spelling. Records of one entity (a doc and the SKU records that list it, or the two
+A source is a unit spelling. The list of spellings says which words are units; their factors come from
+the data. Records of one entity (a doc and the SKU records that list it, or the two
 statements inside a SKU record) that state their quantity in two spellings give a sample of the scale
 between them. Per pair of spellings a robust scale (median of the log ratio), its support and the share
-of samples near it, and an offset (median of the residuals) are estimated; a concentrated scale is
-snapped to the nearest known conversion, and factors are propagated from the common units through the
-graph of snapped pairs, strongest support first. Spellings no pair reaches keep their declared
-conversion; words that no list declares become units only through the graph.
+of samples near it, and an offset (median of the residuals) are estimated; a concentrated scale without
+an offset is snapped to the nearest known conversion, and factors are propagated from the common units
+through the graph of snapped pairs, strongest support first. A factor so found holds even against the
+declared one; only spellings that no pair reaches keep their declared conversion. Words that no list
+declares become units only through the graph.
 
 Scale: pairs come from the listing edges (linear in them, no pairs within a group); the graph is
 aggregated by spelling pair before anything leaves the executors, so the driver sees at most
@@ -77,23 +79,24 @@ def samples(docs: DataFrame, skus: DataFrame) -> DataFrame:
 
 
 def pair_scales(s: DataFrame) -> DataFrame:
-    """``u, v, support, scale, share, offset``: y is about scale · x + offset."""
+    """``u, v, support, scale, share, offset, typical``: y is about scale · x + offset, and its median is typical."""
     lr = F.log(F.col("y") / F.col("x"))
     med = s.groupBy("u", "v").agg(F.count(F.lit(1)).alias("support"), F.percentile_approx(lr, 0.5, 2000).alias("ls")).where(F.col("support") >= LEAST_SUPPORT)
     near = s.join(med, ["u", "v"]).withColumn("r", lr - F.col("ls"))
     return near.groupBy("u", "v", "support", "ls").agg(
         F.avg((F.abs("r") <= NEAR).cast("double")).alias("share"),
         F.percentile_approx(F.when(F.abs("r") <= NEAR, F.col("y") - F.exp("ls") * F.col("x")), 0.5, 2000).alias("offset"),
-    ).select("u", "v", "support", F.exp("ls").alias("scale"), "share", "offset")
+        F.percentile_approx("y", 0.5, 2000).alias("typical"),
+    ).select("u", "v", "support", F.exp("ls").alias("scale"), "share", "offset", "typical")
 
 
-def snap(scale: float) -> Decimal | None:
-    """The known conversion, or the quotient of two, within ``NEAR`` of an estimated scale."""
+def snap(scale: float, near: float = NEAR) -> Decimal | None:
+    """The known conversion, or the quotient of two, within ``near`` of an estimated scale."""
     best = None
     for a in KNOWN:
         for b in KNOWN:
             gap = abs(math.log(scale) - math.log(a / b))
-            if gap <= NEAR and (best is None or (round(gap, 3), a != 1 and b != 1) < best[0]):
+            if gap <= near and (best is None or (round(gap, 3), a != 1 and b != 1) < best[0]):
                 best = ((round(gap, 3), a != 1 and b != 1), a / b)
     return best[1] if best else None
 
@@ -101,9 +104,9 @@ def snap(scale: float) -> Decimal | None:
 def unit_graph(docs: DataFrame, skus: DataFrame) -> list[dict]:
     """The factor of every unit spelling: ``spelling, base, factor, support, origin``.
 
-    ``origin`` is anchor, estimated (reached through the graph and, for declared spellings, in accord
-    with the declared conversion), declared (not reached) or conflict (reached with another factor; the
-    declared one holds).
+    ``origin`` is anchor, estimated (reached through the graph), corrected (reached with another factor
+    or common unit than the declared one, which then doesn't count) or declared (not reached). A pair
+    with an offset is no pure scale and stays out of the graph.
     """
     rows = pair_scales(samples(docs, skus)).limit(MOST_PAIRS + 1).collect()
     if len(rows) > MOST_PAIRS:
@@ -111,7 +114,8 @@ def unit_graph(docs: DataFrame, skus: DataFrame) -> list[dict]:
     near: dict[str, list] = {}
     for r in rows:
         new = r.u[0] == "?" or r.v[0] == "?"
-        k = snap(r.scale) if r.share >= (NEW_SHARE if new else LEAST_SHARE) and r.support >= (NEW_SUPPORT if new else LEAST_SUPPORT) else None
+        firm = r.share >= (NEW_SHARE if new else LEAST_SHARE) and r.support >= (NEW_SUPPORT if new else LEAST_SUPPORT)
+        k = snap(r.scale) if firm and abs(r.offset or 0.0) <= NEAR * r.typical else None
         if k:  # one u is k v
             near.setdefault(r.v, []).append((r.u, k, r.support))
             near.setdefault(r.u, []).append((r.v, 1 / k, r.support))
@@ -123,13 +127,15 @@ def unit_graph(docs: DataFrame, skus: DataFrame) -> list[dict]:
         n, w2, w, k = grown
         base, f, _ = found[w]
         # one w2 is k w
-        found[w2] = (base, f * k, n)
+        found[w2] = (base, snap(float(f * k), 1e-6) or f * k, n)
     out = []
     for u, (base, f) in UNITS.items():
         b, g, n = found.get(u, (None, None, None))
-        agrees = b == base and abs(float(g) / float(f) - 1) < 1e-3
-        origin = "anchor" if u in BASES else "declared" if b is None else "estimated" if agrees else "conflict"
-        out.append({"spelling": u, "base": base, "factor": Decimal(f), "support": n, "origin": origin})
+        if b is None:
+            out.append({"spelling": u, "base": base, "factor": Decimal(f), "support": None, "origin": "declared"})
+        else:
+            agrees = b == base and abs(float(g) / float(f) - 1) < 1e-3
+            out.append({"spelling": u, "base": b, "factor": g, "support": n, "origin": "anchor" if u in BASES else "estimated" if agrees else "corrected"})
     for u, (b, g, n) in found.items():
         if u[0] == "?" and u[1:] not in UNITS:
             out.append({"spelling": u[1:], "base": b, "factor": g, "support": n, "origin": "estimated"})

@@ -62,12 +62,55 @@ def test_history(spark):
     assert history.versions(items.limit(0), raw.limit(0)).count() == 0
 
 
+def test_only_sightings_under_differing_buckets_are_read(spark, monkeypatch):
+    """On most days nothing changes: the comparison goes down to few buckets, and their rows alone are diffed."""
+    rows = [(f"l{i:03d}", day * history.DAY + i, 10 + (day >= 5 and i == 7) + 2 * (day == 6 and i == 8), day) for i in range(200) for day in range(10)]
+    df = spark.createDataFrame(rows, "link string, at long, state long, day int")
+    monkeypatch.setattr(history, "LINKS_A_BUCKET", 4)
+    read = history.rows_to_diff(df)
+    per_day = {r.day: r.n for r in read.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(per_day) == {0, 5, 6, 7} and per_day[0] == 200 and max(per_day[d] for d in (5, 6, 7)) < 40
+    bits = history.leaf_bits(df)
+    leaves = history.snapshot_leaves(df, bits)
+    assert leaves.where("day not in (0, 5, 6, 7) and old <> new").count() == 0  # an unchanged state keeps its digest
+
+
+def test_history_against_brute_force(spark, monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(history, "LINKS_A_BUCKET", 2)
+    rows = [(f"l{rng.randrange(20)}", str(rng.randrange(1, 4)), None, rng.randrange(30) * 43_200 + rng.randrange(3), i) for i in range(600)]
+    items = spark.createDataFrame(rows, "link string, price string, out_of_stock boolean, s long, ord long").withColumn("ts", F.timestamp_seconds("s"))
+    raw = spark.createDataFrame([], DOC)
+    last = {}
+    for link, price, _, s, o in sorted(rows, key=lambda r: r[4]):
+        last[link, s] = price
+    want, before = set(), {}
+    for (link, s), price in sorted(last.items()):
+        if before.get(link) != price:
+            want.add((link, s))
+        before[link] = price
+    assert {(r.link, r.at // 1_000_000) for r in history.versions(items, raw).collect()} == want
+
+
 def test_price_notations(spark):
     rows = [("1.234,50 TL", 12345000), ("1,234.50", 12345000), ("₺9", 90000), ("1.250", 12500000), ("-", None), (None, None), (" 7,5 ₺", 75000)]
     df = spark.createDataFrame([(a,) for a, _ in rows], "p string")
     assert [r[0] for r in df.select(history.price_units("p")).collect()] == [b for _, b in rows]
 
 
+def test_a_wrong_declared_factor_is_put_right_by_the_data(spark, monkeypatch):
+    monkeypatch.setitem(units.UNITS, "cl", ("ml", "100"))
+    skus = spark.createDataFrame([(i, None, f"{10 * i} ml", float(i), "cl") for i in range(1, 31)] + [(99, None, "5 cl", None, None)], "ord long, doc_ids array<string>, size string, digits double, unit string")
+    raw = spark.createDataFrame([], DOC)
+    assert {r.spelling: (float(r.factor), r.origin) for r in units.conversions(raw, skus).where("spelling in ('cl', 'kg')").collect()} == {"cl": (10.0, "corrected"), "kg": (1000.0, "declared")}
+    assert units.common_quantities(raw, skus).where("ord = 99").collect()[0].milli == 50_000
+
+
+def test_a_pair_with_an_offset_is_no_scale(spark):
+    skus = spark.createDataFrame([(i, None, f"{1000 + 10 * i} ml", float(i), "zz") for i in range(1, 61)], "ord long, doc_ids array<string>, size string, digits double, unit string")
+    assert units.conversions(spark.createDataFrame([], DOC), skus).where("spelling = 'zz'").count() == 0
+
+
 def test_units(spark):
     raw = spark.createDataFrame([("d1", 1, None, "Krem 0.5 lt", None, None, None, None, None), ("d2", 2, None, None, None, None, None, None, None), ("d3", 3, None, "Bal 2x1.000 gr", None, None, None, None, None)], DOC)
     skus = spark.createDataFrame([(1, ["d1+clone0"], "500 ml", 0.5, "lt"), (2, None, None, None, "kg"), (3, [], None, 3.0, "Kg."), (4, None, "", float("nan"), "ml")], "ord long, doc_ids array<string>, size string, digits double, unit string")
