@@ -8,18 +8,22 @@ other; the best label sequence under the final messages is read off. Labels are
 email, phone, id_number, address and name, and outside.
 
 The model is trained in the query itself, on a bounded sample (``SAMPLE`` documents in hash order) whose
-labels come from labelling functions: unmistakable shapes, and shapes after a cue. Weights and
-transitions are fitted piecewise, the skip potential from how often linked tokens agree in
-the sample. An exact check follows: an item must also have its kind's shape (check digits included).
+labels come from labelling functions: unmistakable shapes, and shapes after a cue. The cues label the
+sample and are no features: the field learns from words, their endings, forms and neighbours, so names
+after other words are found too (the README has the recall on held-out cues). Weights and transitions
+are fitted piecewise, the skip potential from how often linked tokens agree in the sample. An exact
+check follows: an item must also have its kind's shape (check digits included).
 
 Scale: the sample is bounded, its weights (a few MB) are broadcast, and all texts are decoded whole in
-one narrow Arrow stage without a shuffle.
+one narrow Arrow stage without a shuffle. Features are hashed once per spelling and mixed as arrays
+over a batch of texts; messages and decoding run over the batch as well.
 """
 
 from __future__ import annotations
 
 import re
-from array import array
+import zlib
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -31,17 +35,20 @@ from pyspark.sql import functions as F
 #: Labelled documents the model is fitted on, at most.
 SAMPLE = 4000
 EPOCHS, TOKENS, RATE, L2 = 8, 4096, 0.3, 1e-6
-BATCH, ROUNDS, MOST_FEATURES = 64, 2, 400_000
+BATCH, BATCH_CHARACTERS, ROUNDS = 512, 400_000, 2
+#: Spellings a worker keeps the features of, before it starts anew.
+MOST_SPELLINGS = 300_000
 KINDS = ("email", "phone", "id_number", "address", "name")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 KIND_OF = np.array([0] + [1 + i for i in range(len(KINDS)) for _ in "BI"])
 N = len(LABELS)
+BEGINS = np.array([x[0] == "B" for x in LABELS])
 
 # --- fixed values: shapes of items, and cues of the labelling functions -----------------------------
 AT = r"(?:@|\[ ?at ?\]|\( ?at ?\)|\{at\})"
 DOT = r"(?:\.|\[ ?\. ?\]|\(\.\)|\[dot\]|\(dot\)|\[nokta\])"
 EMAIL_END = re.compile(rf"\s?{AT}\s?[\w-]+(?:{DOT}[\w-]+)+", re.I)
-EMAIL_LOCAL = re.compile(r"[\w.+%-]+$")
+EMAIL_LOCAL = re.compile(r"[\w.+%-]")
 PHONES = re.compile(
     r"(?<![\w+])(?:"
     r"(?:\+90 ?|0090 ?|0 ?)?(?:\(0?5\d{2}\) ?|0?5\d{2}[ .-]?)\d{3}[ .-]?\d{2}[ .-]?\d{2}"
@@ -87,8 +94,11 @@ def shapes(text: str) -> list[tuple[int, int, str]]:
     out = []
     if "@" in text or "at]" in text.lower() or "at)" in text.lower() or "{at}" in text.lower():
         for m in EMAIL_END.finditer(text):
-            if left := EMAIL_LOCAL.search(text, max(0, m.start() - 80), m.start()):
-                out.append((left.start(), m.end(), "email"))
+            a = m.start()
+            while a and EMAIL_LOCAL.match(text[a - 1]):
+                a -= 1
+            if a < m.start():
+                out.append((a, m.end(), "email"))
     if any(c.isdigit() for c in text):
         out += [(m.start(), m.end(), "address") for m in ADDRESSES.finditer(text)]
         for m in IDS.finditer(text):
@@ -103,18 +113,17 @@ def fold(s: str) -> str:
     return s.replace("İ", "i").lower().replace("i̇", "i")
 
 
-def silver(text: str) -> list[tuple[int, int, str]]:
+def silver(text: str, cues: tuple[str, ...] = NAME_CUES) -> list[tuple[int, int, str]]:
     """What the labelling functions are sure of, without overlap."""
     spans = []
     for a, b, k in shapes(text):
         if k == "phone":
-            cue = fold(text[max(0, a - 14) : a]).rstrip()
-            if not cue.endswith(PHONE_CUES):
+            if not fold(text[:a]).rstrip().endswith(PHONE_CUES):
                 continue
         spans.append((a, b, k))
     low = fold(text)
     if len(low) == len(text):
-        for cue in NAME_CUES:
+        for cue in cues:
             i = low.find(cue)
             while i >= 0:
                 if (m := NAME.match(text, i + len(cue) + 1)) and (m[1][0].isupper() or text == text.lower()) and m[3][0].isupper() == m[1][0].isupper():
@@ -136,63 +145,132 @@ def shape_of(w: str) -> str:
     return "mix" if len(w) > 1 else w
 
 
-class Doc:
-    """Tokens of a text with their features and skip edges."""
-
-    __slots__ = ("edges", "feats", "gold", "shapes", "text", "toks")
-
-    def __init__(self, text: str):
-        self.text = text
-        self.toks = [(m.start(), m.end(), m.group()) for m in TOKEN.finditer(text)]
-        self.shapes = shapes(text)
-        low = [fold(w) for _, _, w in self.toks]
-        sh = [shape_of(w) for _, _, w in self.toks]
-        n = len(low)
-        inside: list[list[str]] = [[] for _ in range(n)]
-        for a, b, k in self.shapes:
-            for i, (s, e, _) in enumerate(self.toks):
-                if s >= a and e <= b:
-                    inside[i].append(("b:" if s == a else "i:") + k)
-        whole = fold(text)
-        exact = len(whole) == len(text)
-        self.feats = []
-        for i, w in enumerate(low):
-            p1, p2, p3 = (low[i - d] if i >= d else "<" for d in (1, 2, 3))
-            n1, n2 = (low[i + d] if i + d < n else ">" for d in (1, 2))
-            s0, s1 = sh[i], sh[i + 1] if i + 1 < n else ">"
-            alpha = w.isalpha()
-            f = ["bias", "s=" + s0, "s1=" + s1, f"ps={sh[i - 1] if i else '<'}|{s0}", f"p1={p1}", f"p1s={p1}|{s0}", f"p2s={p2}|{p1}|{s0}", f"p3={p3}|{p2}|{p1}", f"n1={n1 if not n1.isdigit() else '9'}", f"n12={n2 if not n2.isdigit() else '9'}"]
-            ahead = whole[max(0, self.toks[i][0] - 16) : self.toks[i][0]].rstrip() if exact else ""
-            if ahead.endswith(NAME_CUES):
-                f += ["cue=name", "cue=name|" + s0]
-            if ahead.endswith(PHONE_CUES):
-                f += ["cue=phone", "cue=phone|" + s0]
-            if alpha and len(w) > 1 and s1 in (s0, "X"):
-                f.append("pair=" + s0)
-            if alpha:
-                f += ["w=" + w, "e3=" + w[-3:], "e4=" + w[-4:]]
-            for x in inside[i] or ("none",):
-                f += ["in=" + x, f"in={x}|{p1}", f"in={x}|{s0}"]
-            self.feats.append(f)
-        last: dict[str, int] = {}
-        self.edges = []
-        for i, w in enumerate(low):
-            s0 = sh[i]
-            if (s0[0] == "9" and len(w) >= 3) or s0 in ("Xx", "XX") or s0 == "mix":
-                key = w if s0[0] == "9" or len(w) < 6 else w[:-1] if len(w) < 9 else w[:7]
-                if key in last:
-                    self.edges.append((last[key], i))
-                last[key] = i
-
-    def label(self, spans: list[tuple[int, int, str]]) -> None:
-        y = [0] * len(self.toks)
-        for a, b, k in spans:
-            begun = False
-            for i, (s, e, _) in enumerate(self.toks):
-                if s >= a and e <= b:
-                    y[i] = LABELS.index(("I-" if begun else "B-") + k)
-                    begun = True
-        self.gold = y
+def _hash(x: str) -> int:
+    return zlib.crc32(x.encode("utf-8", "replace")) + 1
+
+
+class Words:
+    """What features need to know of each spelling, computed once per spelling and process."""
+
+    COLUMNS = W, S, E3, E4, ALPHA, NEXT, KEY = range(7)
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.known: list[tuple[int, ...]] = [(0,) * len(self.COLUMNS)]  # number 0 stands beyond either end of a text
+        self.table = np.zeros((1, len(self.COLUMNS)), np.uint64)
+
+    def add(self, word: str) -> int:
+        w, s = fold(word), shape_of(word)
+        alpha = w.isalpha()
+        # near-repeats of long words (other endings) share a key; digits must repeat exactly
+        linked = (s[0] == "9" and len(w) >= 3) or s in ("Xx", "XX", "mix")
+        key = w if s[0] == "9" or len(w) < 6 else w[:-1] if len(w) < 9 else w[:7]
+        self.known.append((_hash(w), _hash(s), _hash(w[-3:]) if alpha else 0, _hash(w[-4:]) if alpha else 0, int(alpha and len(w) > 1), 1 if w.isdigit() else _hash(w), _hash(key) if linked else 0))
+        self.ids[word] = len(self.known) - 1
+        return self.ids[word]
+
+    def numbers(self, words: list[str]) -> list[int]:
+        ids = self.ids
+        return [ids[w] if w in ids else self.add(w) for w in words]
+
+    def columns(self, numbers: np.ndarray) -> np.ndarray:
+        if len(self.table) < len(self.known):
+            self.table = np.array(self.known, np.uint64)
+        return self.table[numbers].T
+
+
+ONE_LETTER = np.uint64(_hash("X"))
+_WORDS = Words()
+SLOT_BITS = 22
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _slot(template: int, *cols: np.ndarray) -> np.ndarray:
+    """The slot of a feature: its template and values mixed to ``SLOT_BITS`` bits."""
+    h = np.full(len(cols[0]), template + 1, np.uint64) * _MIX
+    for c in cols:
+        h = (h ^ c) * _MIX
+        h ^= h >> np.uint64(29)
+    return ((h * _MIX) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+
+
+class Docs:
+    """A batch of texts: tokens, shapes, feature slots (tokens × templates) and skip edges."""
+
+    PAD = 3
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+        if len(_WORDS.ids) > MOST_SPELLINGS:
+            _WORDS.clear()
+        self.starts: list[list[int]] = []
+        self.ends: list[list[int]] = []
+        self.shapes: list[list[tuple[int, int, str]]] = []
+        numbers, first, at = [0] * self.PAD, [], self.PAD
+        for t in texts:
+            found = [(m.start(), m.end(), m.group()) for m in TOKEN.finditer(t)]
+            self.starts.append([x[0] for x in found])
+            self.ends.append([x[1] for x in found])
+            self.shapes.append(shapes(t))
+            first.append(at)
+            numbers += _WORDS.numbers([x[2] for x in found])
+            numbers += [0] * self.PAD
+            at += len(found) + self.PAD
+        self.length = np.array([len(x) for x in self.starts], np.int64)
+        self.doc = np.repeat(np.arange(len(texts)), self.length)
+        #: Place of each token in its text, and in the padded row of all texts.
+        self.place = np.arange(len(self.doc)) - np.repeat(np.cumsum(self.length) - self.length, self.length)
+        row = np.array(first, np.int64)[self.doc] + self.place if len(self.doc) else np.zeros(0, np.int64)
+        cols = _WORDS.columns(np.array(numbers, np.int64))
+        self.slots = self._features(cols, row)
+        self.edges = self._links(cols[Words.KEY][row])
+
+    def _inside(self) -> np.ndarray:
+        """For each token the shapes it stands in, one bit for each kind and for begin or inside."""
+        out = np.zeros(len(self.doc), np.uint64)
+        offset = np.cumsum(self.length) - self.length
+        for i, spans in enumerate(self.shapes):
+            for a, b, k in spans:
+                lo, hi = bisect_left(self.starts[i], a), bisect_right(self.ends[i], b)
+                bit = 2 * KINDS.index(k)
+                for j in range(lo, hi):
+                    out[offset[i] + j] |= np.uint64(1 << (bit + (self.starts[i][j] != a)))
+        return out
+
+    def _features(self, cols: np.ndarray, row: np.ndarray) -> np.ndarray:
+        w, s, nxt = cols[Words.W], cols[Words.S], cols[Words.NEXT]
+        at = lambda c, d: c[row + d]
+        w0, s0, p1, p2, p3, s1, n1 = at(w, 0), at(s, 0), at(w, -1), at(w, -2), at(w, -3), at(s, 1), at(nxt, 1)
+        alpha = at(cols[Words.ALPHA], 0)
+        pair = np.where((alpha > 0) & ((s1 == s0) | (s1 == ONE_LETTER)), s0, np.uint64(0))
+        inside = self._inside()
+        templates = (
+            (np.zeros_like(s0),), (s0,), (s1,), (at(s, -1), s0), (p1,), (p1, s0), (p2, p1, s0), (p3, p2, p1), (n1,), (n1, at(nxt, 2)), (pair,), (w0,), (at(cols[Words.E3], 0),), (at(cols[Words.E4], 0),),
+            (inside,), (inside, p1), (inside, s0), (w0, s1), (w0, at(cols[Words.E3], 1)), (at(cols[Words.E4], 1), pair),
+        )
+        return np.stack([_slot(i, *t) for i, t in enumerate(templates)], 1)
+
+    def _links(self, key: np.ndarray) -> np.ndarray:
+        """``text, first place, second place`` of neighbouring repeats within a text."""
+        has = np.nonzero(key)[0]
+        order = has[np.lexsort((has, key[has], self.doc[has]))]
+        a, b = order[:-1], order[1:]
+        same = (key[a] == key[b]) & (self.doc[a] == self.doc[b])
+        return np.stack([self.doc[a[same]], self.place[a[same]], self.place[b[same]]], 1)
+
+    def gold(self, spans: list[list[tuple[int, int, str]]]) -> np.ndarray:
+        y = np.zeros(len(self.doc), np.int64)
+        offset = np.cumsum(self.length) - self.length
+        for i, own in enumerate(spans):
+            for a, b, k in own:
+                lo, hi = bisect_left(self.starts[i], a), bisect_right(self.ends[i], b)
+                if lo < hi:
+                    y[offset[i] + lo : offset[i] + hi] = LABELS.index("I-" + k)
+                    y[offset[i] + lo] = LABELS.index("B-" + k)
+        return y
 
 
 def _allowed() -> np.ndarray:
@@ -209,16 +287,11 @@ FORBID = np.where(_allowed(), 0.0, -1e4).astype(np.float32)
 START = np.array([-1e4 if x[0] == "I" else 0.0 for x in LABELS], np.float32)
 
 
-def emissions(docs: list[Doc], known: dict[str, int], w: np.ndarray) -> np.ndarray:
-    """Batch × longest × labels; beyond a text only 'outside' is possible."""
-    t = max(len(d.toks) for d in docs)
-    out = np.full((len(docs), t, N), -1e4, np.float32)
+def padded(docs: Docs, flat: np.ndarray) -> np.ndarray:
+    """Texts × longest × labels; beyond a text only 'outside' is possible."""
+    out = np.full((len(docs.texts), max(1, int(docs.length.max(initial=0))), N), -1e4, np.float32)
     out[:, :, 0] = 0
-    for b, d in enumerate(docs):
-        if d.toks:
-            ids = [[known[x] for x in f if x in known] or [0] for f in d.feats]
-            cuts = np.cumsum([0] + [len(x) for x in ids[:-1]])
-            out[b, : len(ids)] = np.add.reduceat(w[np.concatenate([np.asarray(x) for x in ids])], cuts, axis=0)
+    out[docs.doc, docs.place] = flat
     return out
 
 
@@ -236,20 +309,19 @@ def viterbi(em: np.ndarray, tr: np.ndarray) -> np.ndarray:
     return y
 
 
-def propagate(em: np.ndarray, tr: np.ndarray, edges: list[tuple[int, int, int]], agree: float, heat: float) -> np.ndarray:
+def propagate(em: np.ndarray, tr: np.ndarray, e: np.ndarray, agree: float) -> np.ndarray:
     """The log of the product of skip messages into each token, after ``ROUNDS`` rounds of loopy belief propagation."""
     extra = np.zeros_like(em)
-    if not edges or agree <= 0:
+    if not len(e) or agree <= 0:
         return extra
-    e = np.asarray(edges)
     pot = np.ones((N, N), np.float64)
     same = (KIND_OF[:, None] == KIND_OF[None]) & (KIND_OF[:, None] > 0)
     pot[same] = np.exp(agree)
-    trans = np.exp(np.maximum(tr / heat, -60.0)).astype(np.float64)
+    trans = np.exp(np.maximum(tr, -60.0)).astype(np.float64)
     fwd, bwd = np.ones((len(e), N)), np.ones((len(e), N))  # first to second, second to first
     b, t, _ = em.shape
     for _ in range(ROUNDS):
-        logs = em / heat + extra
+        logs = em + extra
         un = np.exp(logs - logs.max(-1, keepdims=True)).astype(np.float64)
         al, be = np.empty((b, t, N)), np.ones((b, t, N))
         al[:, 0] = un[:, 0] * np.exp(np.maximum(START, -60.0))
@@ -272,136 +344,122 @@ def propagate(em: np.ndarray, tr: np.ndarray, edges: list[tuple[int, int, int]],
     return extra
 
 
-def piecewise(docs: list[Doc], known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions, each piece of the field fitted by itself.
-
-    The token factors are a multinomial logistic regression (Adagrad); the chain factors are the log of
-    how much more often two labels follow each other than chance has it, held within 4.
-    """
-    w = np.zeros((len(known), N), np.float32)
-    none = np.zeros(1, np.int32)
-    ids = [f if len(f) else none for d in docs for f in d.feats]
-    size = np.array([len(x) for x in ids], np.int64)
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-    first = np.concatenate([[0], np.cumsum(size)])
-    y = np.array([g for d in docs for g in d.gold], np.int64)
+def piecewise(ids: np.ndarray, y: np.ndarray, rows: int) -> np.ndarray:
+    """Weights of the token factors: a multinomial logistic regression (Adagrad). Row 0 stands for unknown features and stays zero."""
+    w = np.zeros((rows, N), np.float32)
     seen = np.full_like(w, 1e-2)
     order = np.random.default_rng(0)
     blocks = np.arange(0, len(y), TOKENS)
     for _ in range(EPOCHS):
         for k in order.permutation(len(blocks)):
-            lo, hi = blocks[k], min(blocks[k] + TOKENS, len(y))
-            f, at, t = flat[first[lo] : first[hi]], first[lo:hi] - first[lo], y[lo:hi]
-            logit = np.add.reduceat(w[f], at, axis=0)
+            f, t = ids[blocks[k] : blocks[k] + TOKENS], y[blocks[k] : blocks[k] + TOKENS]
+            logit = w[f].sum(1)
             e = np.exp(logit - logit.max(1, keepdims=True))
             g = e / e.sum(1, keepdims=True)
             g[np.arange(len(t)), t] -= 1
-            per = np.repeat(g, size[lo:hi], axis=0)
             used, pos = np.unique(f, return_inverse=True)
+            pos, per = pos.ravel(), np.repeat(g, f.shape[1], axis=0)
             grad = np.stack([np.bincount(pos, per[:, c], len(used)) for c in range(N)], 1).astype(np.float32) / len(t) * 100 + L2 * w[used]
             seen[used] += grad**2
             w[used] -= RATE * grad / np.sqrt(seen[used])
+            w[0] = 0
+    return w
+
+
+def chain_factors(docs: Docs, y: np.ndarray) -> np.ndarray:
+    """The log of how much more often two labels follow each other than chance has it, held within 4."""
     pairs = np.full((N, N), 0.5)
-    for d in docs:
-        np.add.at(pairs, (d.gold[:-1], d.gold[1:]), 1)
+    follows = docs.doc[:-1] == docs.doc[1:]
+    np.add.at(pairs, (y[:-1][follows], y[1:][follows]), 1)
     joint = pairs / pairs.sum()
     pmi = np.log(joint / (joint.sum(1, keepdims=True) * joint.sum(0, keepdims=True)))
-    return w, np.clip(pmi, -4, 4).astype(np.float32) + FORBID
+    return np.clip(pmi, -4, 4).astype(np.float32) + FORBID
 
 
 class Model:
-    """Feature weights, transitions and the skip potential."""
+    """Kept feature slots with their weights, transitions and the skip potential."""
 
-    HEAT = 1.0
+    def __init__(self, slots: np.ndarray, w: np.ndarray, tr: np.ndarray, agree: float):
+        self.slots, self.w, self.tr, self.agree = slots, w, tr, agree
+        self._row: np.ndarray | None = None
 
-    def __init__(self, known: dict[str, int], w: np.ndarray, tr: np.ndarray, agree: float):
-        self.known, self.w, self.tr, self.agree = known, w, tr, agree
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_row": None}
 
     @classmethod
-    def fit(cls, texts: list[str]) -> Model:
-        docs: list[Doc] = []
-        number: dict[str, int] = {"<none>": 0}
-        counts: list[int] = [0]
-        for t in texts:
-            d = Doc(t)
-            if d.toks:
-                d.label(silver(t))
-                ids = []
-                for f in d.feats:
-                    one = array("i")
-                    for x in f:
-                        k = number.setdefault(x, len(number))
-                        if k == len(counts):
-                            counts.append(0)
-                        counts[k] += 1
-                        one.append(k)
-                    ids.append(one)
-                d.feats = ids  # numbers instead of texts, so the sample stays small in the driver's memory
-                docs.append(d)
-        kept = sorted((k for k in range(1, len(counts)) if counts[k] > 1), key=lambda k: -counts[k])[:MOST_FEATURES]
-        new = np.zeros(len(counts), np.int32)
-        new[kept] = np.arange(1, len(kept) + 1)
-        for d in docs:
-            d.feats = [one[one > 0] for one in (new[np.frombuffer(f, np.int32)] for f in d.feats)]
-        known = {x: int(new[k]) for x, k in number.items() if new[k] or k == 0}
-        del number, counts
-        w, tr = piecewise(docs, known)
-        return cls(known, w, tr, cls.agreement(docs))
+    def fit(cls, texts: list[str], cues: tuple[str, ...] = NAME_CUES) -> Model:
+        docs = Docs([t for t in texts if TOKEN.search(t)])
+        y = docs.gold([silver(t, cues) for t in docs.texts])
+        slots, pos, counts = np.unique(docs.slots, return_inverse=True, return_counts=True)
+        kept = counts > 1
+        row = np.where(kept, np.cumsum(kept), 0).astype(np.int32)
+        w = piecewise(row[pos.reshape(docs.slots.shape)], y, int(kept.sum()) + 1)
+        return cls(slots[kept], w, chain_factors(docs, y), cls.agreement(docs, y))
 
     @staticmethod
-    def agreement(docs: list[Doc]) -> float:
+    def agreement(docs: Docs, y: np.ndarray) -> float:
         """Log odds that linked tokens have one kind, over chance, from tokens of a kind in the sample."""
-        same = either = kinds = tokens = 0
-        for d in docs:
-            kinds += sum(y > 0 for y in d.gold)
-            tokens += len(d.gold)
-            for u, v in d.edges:
-                ku, kv = KIND_OF[d.gold[u]], KIND_OF[d.gold[v]]
-                either += ku > 0 or kv > 0
-                same += ku == kv and ku > 0
+        kind, offset = KIND_OF[y], np.cumsum(docs.length) - docs.length
+        ku, kv = (kind[offset[docs.edges[:, 0]] + docs.edges[:, c]] for c in (1, 2))
+        either, kinds = int(((ku > 0) | (kv > 0)).sum()), int((kind > 0).sum())
         if not either or not kinds:
             return 0.0
-        p, q = (same + 1) / (either + 2), max(kinds / max(tokens, 1), 1e-4)
+        p, q = (int(((ku == kv) & (ku > 0)).sum()) + 1) / (either + 2), max(kinds / max(len(y), 1), 1e-4)
         return float(np.clip(np.log(p / q), 0.0, 4.0))
 
-    def label(self, docs: list[Doc]) -> list[np.ndarray]:
-        em = emissions(docs, self.known, self.w)
-        edges = [(b, u, v) for b, d in enumerate(docs) for u, v in d.edges]
-        extra = propagate(em, self.tr, edges, self.agree, self.HEAT)
-        return [y[: len(d.toks)] for d, y in zip(docs, viterbi(em + extra * self.HEAT, self.tr))]
-
-
-def items(d: Doc, y: np.ndarray) -> list[tuple[int, int, str]]:
-    """Spans labelled by the model that pass the exact check of their kind."""
+    def label(self, docs: Docs) -> list[np.ndarray]:
+        """Labels of each text's tokens: no text is left out."""
+        if self._row is None:
+            self._row = np.zeros(1 << SLOT_BITS, np.int32)
+            self._row[self.slots] = np.arange(1, len(self.slots) + 1)
+        flat = np.zeros((len(docs.doc), N), np.float32)
+        for c in range(docs.slots.shape[1]):
+            flat += self.w[self._row[docs.slots[:, c]]]
+        em = padded(docs, flat)
+        y = viterbi(em + propagate(em, self.tr, docs.edges, self.agree), self.tr)
+        return [y[i, :n] for i, n in enumerate(docs.length)]
+
+
+def items(docs: Docs, i: int, y: np.ndarray) -> list[tuple[int, int, str]]:
+    """Spans of text ``i`` labelled by the model that pass the exact check of their kind."""
     out = []
-    for i, (s, e, w) in enumerate(d.toks):
-        if LABELS[y[i]][0] != "B":
-            continue
-        kind = LABELS[y[i]][2:]
+    text, starts, ends = docs.texts[i], docs.starts[i], docs.ends[i]
+    for j in np.nonzero(BEGINS[y])[0]:
+        kind, s, e = LABELS[y[j]][2:], starts[j], ends[j]
         if kind == "name":
-            j = i + 1
-            while j < len(y) and LABELS[y[j]] == "I-name":
-                j += 1
-            end = d.toks[j - 1][1]
-            if w.isalpha() and len(w) > 1 and (m := NAME.match(d.text, s)) and m.end() <= end:
+            last = j
+            while last + 1 < len(y) and LABELS[y[last + 1]] == "I-name":
+                last += 1
+            if (m := NAME.match(text, s)) and m.end() <= ends[last]:
                 out.append((s, m.end(), kind))
         else:
-            held = [x for x in d.shapes if x[2] == kind and x[0] <= s and e <= x[1]]
+            held = [x for x in docs.shapes[i] if x[2] == kind and x[0] <= s and e <= x[1]]
             if held:
                 out.append(max(held, key=lambda x: x[1] - x[0]))
     return sorted(set(out))
 
 
-def may_have(d: Doc, given: set[str]) -> bool:
-    return bool(d.shapes) or any(fold(w) in given for _, _, w in d.toks) or any(c in fold(d.text) for c in NAME_CUES)
+def find_in(texts: list[str], model: Model) -> dict[str, list[tuple[int, int, str]]]:
+    """The items of each different text. Texts of like length go together, long ones fewer at once."""
+    found: dict[str, list] = {}
+    todo = sorted(dict.fromkeys(t for t in texts if t), key=len)
+    i = 0
+    while i < len(todo):
+        k = max(1, min(BATCH, BATCH_CHARACTERS // len(todo[min(i + BATCH, len(todo)) - 1])))
+        docs = Docs(todo[i : i + k])
+        for j, y in enumerate(model.label(docs)):
+            found[docs.texts[j]] = items(docs, j, y)
+        i += k
+    return found
 
 
 def sample_texts(documents: DataFrame, text_col: str = "text", most: int = SAMPLE) -> list[str]:
-    """At most ``most`` different texts in hash order, those with a digit, an at-sign or a cue first."""
+    """At most ``most`` different texts in hash order: three quarters that a labelling function may label, the rest any others."""
     cue = "|".join(re.escape(c) for c in NAME_CUES)
     rich = F.col(text_col).rlike(rf"(?i)@|[0-9]{{6}}|[\[(]at[\])]|{cue}|(mah|cad|rue|calle|lane|road|avenue|stra)")
-    rows = documents.where(f"{text_col} is not null").select(text_col, F.when(rich, 0).otherwise(1).alias("k"), F.xxhash64(text_col).alias("h")).distinct()
-    return [r[0] for r in rows.orderBy("k", "h", text_col).limit(most).collect()]
+    rows = documents.where(f"{text_col} is not null").select(text_col, rich.alias("rich"), F.xxhash64(text_col).alias("h")).distinct()
+    took = [r[0] for r in rows.where("rich").orderBy("h", text_col).limit(most * 3 // 4).collect()]
+    return took + [r[0] for r in rows.where("not rich").orderBy("h", text_col).limit(most - len(took)).collect()]
 
 
 def _decode(documents: DataFrame, id_col: str, text_col: str, schema: pa.Schema, ddl: str, emit) -> DataFrame:
@@ -409,25 +467,9 @@ def _decode(documents: DataFrame, id_col: str, text_col: str, schema: pa.Schema,
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
         for rb in batches:
             ids, texts = rb.column(0).to_pylist(), rb.column(1).to_pylist()
-            found: dict[str, list] = {}
-            todo = []
-            for t in dict.fromkeys(t for t in texts if t):
-                d = Doc(t)
-                found[t] = []
-                if d.toks and may_have(d, set()):
-                    todo.append(d)
-            todo.sort(key=lambda d: len(d.toks))
-            i = 0
-            while i < len(todo):
-                # long texts go in smaller batches, so a batch's memory stays bounded
-                k = max(1, min(BATCH, 60_000 // max(1, len(todo[min(i + BATCH, len(todo)) - 1].toks))))
-                part = todo[i : i + k]
-                for d, y in zip(part, m.label(part)):
-                    found[d.text] = items(d, y)
-                i += k
+            found = find_in(texts, sent.value)
             cols = defaultdict(list)
             for id_, t in zip(ids, texts):
                 emit(cols, id_, t, found.get(t, []))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,17 +158,42 @@ def test_part_numbers_give_the_variant(spark):
 def test_pii(spark):
     texts = [f"Sayın yetkili, ben Emre Korvan{e}. Siparişim 63377549{i} numaralıydı. Tel: 0532 555 00 {i}{i}. barkod 200000509414{i}" for i in range(5) for e in ("oğlu", "lı", "er")]
     texts += [f"regards, Grace Ashmer{e}. call me on 212-555-012{i}; write to g.ash{i} [at] mail[.]example.net" for i in range(5) for e in ("wick", "stow")]
-    texts += ["adresim Taşlıbağ Mah. 1535. Sok. No: 53/13 Karatepecik. TC kimlik no 95314552284", None, "", "Nichts zu finden."]
+    texts += [f"adresim Taşlıbağ Mah. 1535. Sok. No: {i}/13 Karatepecik. TC kimlik no 95314552284" for i in range(53, 56)] + [None, "", "Nichts zu finden."]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {(r.doc_id, r.kind, r.start_at) for r in pii.find_items(df).collect()}
     want = {(i, k, a) for i, t in enumerate(texts) if t for a, _, k in pii.silver(t)}
     assert got == want and len({k for _, k, _ in got}) == 5
     m = {r.doc_id: r.text for r in pii.masked(df).collect()}
-    assert m[26] is None and m[27] == "" and "<ADDRESS>" in m[25] and "<ID_NUMBER>" in m[25]
+    assert m[28] is None and m[29] == "" and "<ADDRESS>" in m[25] and "<ID_NUMBER>" in m[25]
     assert not pii.national_id("95314552285") and pii.national_id("95314552284")
     assert pii.find_items(df.limit(0)).count() == 0
 
 
+def test_names_without_a_listed_cue_are_found():
+    """No text is skipped: a name in a text with no shape and no listed cue is found by its words and surroundings."""
+    given, family = ("Emre", "Elif", "Burak", "Deniz", "Selin"), ("Korvanlı", "Pekberer", "Dorukaler", "Ilgarcan", "Sarvatsoy")
+    texts = [f"Kargo hızlıydı. {cue} {g} {f}. Ürün {x}" for cue in ("Alıcı", "faturada", "Teşekkürler,") for g in given for f in family for x in ("güzel", "Kötü")]
+    texts += [f"Ürün {x}. Satıcı {y}. Sevgiler, {g}" for x in ("Güzel", "kötü") for y in ("Hızlı", "yavaş") for g in given]
+    model = pii.Model.fit(texts)
+    asked = {f"Kapıda {g} {f} karşıladı, sonra {g} {f} aradı": 7 for g in given for f in family}
+    got = pii.find_in([*asked, "Kapıda kimse karşıladı"], model)
+    found = sum((at, at + len(t.split()[1]) + 1 + len(t.split()[2]), "name") in got[t] for t, at in asked.items())
+    assert found >= 0.9 * len(asked) and got["Kapıda kimse karşıladı"] == []
+
+
+def test_skip_edges_carry_a_name_to_its_second_place():
+    docs = pii.Docs(["Emre Korvanlı geldi. Korvanlılar Emre"])
+    pairs = {(docs.texts[0][docs.starts[0][u] : docs.ends[0][u]], docs.texts[0][docs.starts[0][v] : docs.ends[0][v]]) for _, u, v in docs.edges}
+    assert ("Emre", "Emre") in pairs
+    em = np.zeros((1, 4, pii.N), np.float32)
+    em[0, 0, pii.LABELS.index("B-name")] = 6.0
+    em[0, 3, 0] = 1.0
+    tr = pii.FORBID
+    plain = pii.viterbi(em, tr)[0, 3]
+    linked = pii.viterbi(em + pii.propagate(em, tr, np.array([[0, 0, 3]]), 3.0), tr)[0, 3]
+    assert plain == 0 and pii.LABELS[linked] == "B-name"
+
+
 def copied_records(spark, n: int = 200):
     """Four sources that slip now and then, each by itself, a bad one, and two that copy it with its faults."""
     rng, rows = random.Random(4), []
