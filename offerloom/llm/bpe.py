@@ -18,6 +18,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from offerloom.session import read_file
+
 #: Where the vocabulary lies unless another path is given.
 VOCABULARY = os.environ.get("OFFERLOOM_TOKENIZERS", "/opt/tokenizers") + "/byte_bpe_50k.tiktoken"
 #: The largest vocabulary file that is broadcast.
@@ -123,11 +125,7 @@ def encode_documents(documents: DataFrame, path: str = VOCABULARY, id_col: str =
     Empty and null texts give an empty list; strings of special tokens are ordinary text; repeated
     rows stay repeated; lone surrogates can't occur in Spark strings.
     """
-    size = os.path.getsize(path)
-    if size > MOST_BYTES:
-        raise ValueError(f"{path} has {size} bytes; at most {MOST_BYTES} are broadcast")
-    with open(path, "rb") as f:
-        data = documents.sparkSession.sparkContext.broadcast(f.read())
+    data = documents.sparkSession.sparkContext.broadcast(read_file(documents.sparkSession, path, MOST_BYTES))
     schema = pa.schema([(id_col, pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

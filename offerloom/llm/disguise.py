@@ -77,7 +77,7 @@ def _quote(s: str) -> str:
 def _connect():
     import duckdb
 
-    con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY})
+    con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
     forms = compatibility_forms()
     con.execute("create table forms (c varchar, t varchar)")
     con.register("forms_in", pa.table({"c": list(forms), "t": list(forms.values())}))
@@ -91,7 +91,10 @@ def _fields_sql(fields: tuple[str, ...]) -> str:
 
 
 def _found_sql(fields: tuple[str, ...]) -> str:
-    reasons = ", ".join(f"case when regexp_matches(text, {_quote(p)}) then {_quote(n)} end" for n, p in patterns().items())
+    is_so = {n: f"regexp_matches(text, {_quote(p)})" for n, p in patterns().items()}
+    # a character that normalising replaces by another one (the Kelvin sign) is a form too
+    is_so["form"] += f" or (not {is_so['mark']} and nfc_normalize(text) <> text)"
+    reasons = ", ".join(f"case when {x} then {_quote(n)} end" for n, x in is_so.items())
     return f"select ord, field, text, array_to_string([{reasons}], ',') as reasons from ({_fields_sql(fields)})"
 
 
