@@ -11,6 +11,8 @@ BAD_COLOR_PARTS = ("nocolor", "no color", "cok renkli", "renkli")
 BAD_SUBCAT_PARTS = ("indirim", "%", "kampanya")
 TOO_BROAD = ("kozmetik", "supermarket", "gida", "el", "erkek", "bakim", "icecek", "sivi", "kati", "bebek", "kedi", "kopek", "bakim urun", "temizleyici")
 GENDERS = ("erkek", "men", "bay", "man", "kadin", "women", "bayan", "woman", "cocuk", "child", "children", "bebe", "unisex")
+FILTER_STOPWORDS = ("ve", "and", "ile", "adet", "for", "icin", "veya", "li", "lu", "ml", "gr", "kg", "lt")
+COLOR_TWINS = {"blue": "mavi", "beyaz": "white", "siyah": "black", "kirmizi": "red", "altin": "gold", "yellow": "sari", "green": "yesil", "dark": "koyu"}
 NO_STOCK = "Stokta Yok"
 REQUIRED = ("link", "name", "price", "market", "src")
 # ------------------------------------------------------------------------------------------------

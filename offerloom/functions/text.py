@@ -53,9 +53,13 @@ def _small_fold_map() -> tuple[str, str]:
 
 
 def accent_fold(c: Column | str) -> Column:
-    """Characters whose decomposition is a single ASCII character become it; others stay."""
-    one, _ = ascii_fold_map()
-    return F.translate(_as_col(c), "".join(one), "".join(one.values()))
+    """Characters whose decomposition is ASCII become it, whether one character or several; others stay."""
+    one, many = ascii_fold_map()
+    c = F.translate(_as_col(c), "".join(one), "".join(one.values()))
+    several = F.create_map(*[F.lit(x) for kv in many.items() for x in kv])
+    spelt_out = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(several[ch], ch)), "")
+    # few texts have such a character, so only they are taken apart
+    return F.when(c.rlike("[" + "".join(many) + "]"), spelt_out).otherwise(c)
 
 
 def squeeze(c: Column | str) -> Column:
@@ -132,9 +136,9 @@ def windows(arr: Column, least: int = 1) -> Column:
     return F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(least), n - i + 1), lambda k: F.array_join(F.slice(arr, i, k), " "))))
 
 
-def prefixes(arr: Column, end: int, clamp: bool = False) -> Column:
-    """Prefixes of 1..end words; beyond the last word the whole repeats unless ``clamp``."""
-    n = F.lit(end) if not clamp else F.least(F.lit(end), F.size(arr))
+def prefixes(arr: Column, end: int | None = None, clamp: bool = False) -> Column:
+    """Prefixes of 1..end words (all without ``end``); beyond the last word the whole repeats unless ``clamp``."""
+    n = F.size(arr) if end is None else F.lit(end) if not clamp else F.least(F.lit(end), F.size(arr))
     return F.when(F.size(arr) > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(arr, 1, i), " "))).otherwise(F.array().cast("array<string>"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.functions.collections import top_per
-from offerloom.functions.names import filtered_names_udf, partial_match_udf
+from offerloom.functions import names as N
 from offerloom.functions.text import contains_words, prefixes, tokens, windows
 
 
@@ -30,7 +30,7 @@ def prefix_frequencies(names: DataFrame, end: int = 3) -> DataFrame:
 
 def root_brands(brand_freq: DataFrame) -> DataFrame:
     """``brand, root``: of a brand's prefixes from short to long, the last that is more frequent than all before and the brand."""
-    b = brand_freq.select("brand", "n", F.posexplode(prefixes(tokens("brand"), 8, clamp=True)).alias("i", "p"))
+    b = brand_freq.select("brand", "n", F.posexplode(prefixes(tokens("brand"))).alias("i", "p"))
     f = b.join(brand_freq.select(F.col("brand").alias("p"), F.col("n").alias("pn")), "p").where("pn > n")
     best = top_per(f, ["brand"], [F.col("pn").desc(), F.col("i")]).select("brand", F.col("p").alias("root"))
     return brand_freq.select("brand").join(best, "brand", "left").select("brand", F.coalesce("root", "brand").alias("root"))
@@ -65,7 +65,7 @@ def subcat_in_names(names: DataFrame, subcats: DataFrame) -> DataFrame:
 def subcat_partial(names: DataFrame, subcats: DataFrame) -> DataFrame:
     """``uid, subcat, window``: the most frequent candidate that a name abbreviates, and the words that do."""
     f = subcats.groupBy("uid", "subcat").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("at"))
-    tried = f.join(names, "uid").where(~F.contains("name", F.col("subcat"))).withColumn("window", partial_match_udf("name", "subcat"))
+    tried = f.join(names, "uid").where(~F.contains("name", F.col("subcat"))).withColumn("window", N.abbreviated(F.col("name"), F.col("subcat")))
     return top_per(tried.where("window is not null"), ["uid"], [F.col("n").desc(), F.col("at"), F.col("pos")]).select("uid", "subcat", "window")
 
 
@@ -120,7 +120,7 @@ def merged_subcats(counts: DataFrame) -> DataFrame:
 
 def filtered_names(products: DataFrame) -> DataFrame:
     """Adds ``filtered_names``: clean names without brands, sub-categories and colours."""
-    return products.withColumn("filtered_names", filtered_names_udf("clean_names", "brands", "subcats", "colors"))
+    return products.withColumn("filtered_names", N.filtered_names(F.col("clean_names"), F.col("brands"), F.col("subcats"), F.col("colors")))
 
 
 def word_group_counts(rows: DataFrame, end: int = 4) -> DataFrame:
