@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerloom import stream_queries
 from offerloom.constants import Config
 from offerloom.functions import collections as C
 from offerloom.functions import text as T
@@ -76,20 +77,6 @@ def _snapshots(i: DataFrame) -> tuple[DataFrame, DataFrame]:
     return last(i.where(F.col("ts") < half)), last(i.where(F.col("ts") >= half))
 
 
-def _streamed(spark: SparkSession, folder: str) -> DataFrame:
-    """The final offers after the items ran through the stream in one drain."""
-    import uuid
-
-    from offerloom.session import ensure_checkpoint_dir
-    from offerloom.streaming import pipeline as P
-
-    root = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-    schema = table(spark, folder, "items").schema
-    store = P.OfferStore(spark, f"{root}/store")
-    P.run_upserts(P.item_stream(spark, f"{folder}/items.parquet", schema, files_per_batch=1000), store, f"{root}/offsets").awaitTermination()
-    return store.read().select("link", "price", "market")
-
-
 def reference_queries() -> Q:
     txt = C.sorted_text
     return {
@@ -147,7 +134,6 @@ def reference_queries() -> Q:
         "diff": _q(lambda i: sync.diff(*_snapshots(i), "link", ["price", "market"]), "items"),
         "price_log": _q(lambda i: sync.price_log(i), "items"),
         "out_of_stock_marks": _q(lambda r, i: sync.mark_out_of_stock(r.select("ord", "link", "market", "out_of_stock"), i.select("link"), "kavsak"), "raw_docs", "items"),
-        "stream_upserts": _streamed,
         # serving and reports
         "search_keyword": _q(lambda k: search.keyword_search(k, "sivi sabun"), "skus"),
         "search_barcode": _q(lambda k: search.by_barcodes(k, ["2000000015828", "2000000004969"]).select("ord"), "skus"),
@@ -222,7 +208,6 @@ ORACLES = {
     "diff": "with l as (select link, ts, ord, price, market from items where link is not null), a as (select link, arg_max(struct_pack(price := price, market := market), struct_pack(ts := ts, ord := ord)) as r from l where ts < '2020-04-01' group by 1), b as (select link, arg_max(struct_pack(price := price, market := market), struct_pack(ts := ts, ord := ord)) as r from l where ts >= '2020-04-01' group by 1) select link, case when a.link is null then 'insert' when b.link is null then 'delete' else 'update' end as op from (select link, r from a) a full join (select link, r from b) b using (link) where a.link is null or b.link is null or a.r.price is distinct from b.r.price or a.r.market is distinct from b.r.market".replace("a.link is null", "a.r is null").replace("b.link is null", "b.r is null"),
     "price_log": "select link, price, strftime(max(ts), '%m/%d/%Y, %H:%M:%S') as last_seen from items where price is not null and link is not null group by 1, 2",
     "out_of_stock_marks": "select ord, link, market, case when market = 'kavsak' and link not in (select link from items where link is not null) then true else out_of_stock end as out_of_stock from raw_docs",
-    "stream_upserts": "select link, r.price as price, r.market as market from (select regexp_replace(link, '/$', '') as link, arg_max(struct_pack(price := nullif(price, ''), market := nullif(market, '')), struct_pack(ts := ts, ord := ord)) as r from items where link is not null group by 1)",
     "search_barcode": "select ord from skus where list_has_any(barcodes, ['2000000015828', '2000000004969'])",
     "inverted_index": f"select distinct p_partkey, unnest(list_filter({_W}, lambda t: length(t) > 1)) as token from part",
     "market_stats": "select r.market, count(*) as n_docs, count(*) filter (out_of_stock) as n_out, count(*) filter (cardinality(promoted) > 0) as n_promoted, count(*) filter (cardinality(variants) > 0) as n_variants, count(distinct variant_name) as n_variant_names, any_value(coalesce(n_barcodes, 0)) as n_barcodes from raw_docs r left join (select market, count(distinct b) as n_barcodes from (select market, unnest(barcodes) as b from raw_docs) group by 1) using (market) group by 1",
@@ -235,8 +220,8 @@ ORACLES = {
 
 
 def queries() -> Q:
-    return problem_queries() | reference_queries()
+    return problem_queries() | reference_queries() | stream_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5_FOUND} | ORACLES
+    return {"p5_found": P5_FOUND} | ORACLES | stream_queries.ORACLES
