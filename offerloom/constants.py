@@ -26,6 +26,7 @@ class Config:
     name_rank: dict[str, int] = field(default_factory=dict)
     src_rank: dict[str, int] = field(default_factory=dict)
     product_market: str = "gratis"
+    variant_marker: str = "?sku"
     most_spread: float = 3.0
     deal_share: float = 0.7
     deal_prices: int = 4

@@ -60,6 +60,20 @@ def overlay(old: Column, new: Column) -> Column:
     return F.map_concat(F.map_filter(o, lambda k, _: ~F.coalesce(F.array_contains(F.map_keys(n), k), F.lit(False))), n)
 
 
+def merged_maps(*maps: Column) -> Column:
+    """One map of several: the first that has a key gives its value; null maps count as empty, keys without a value go."""
+    out = maps[-1]
+    for m in reversed(maps[:-1]):
+        out = overlay(out, m)
+    return F.map_filter(out, lambda _, v: v.isNotNull())
+
+
+def nested_sets(rows: DataFrame, col: str) -> DataFrame:
+    """``key, members``: for each key of a map of arrays the different members it has in any row."""
+    each = rows.select(F.explode(col).alias("key", "m")).select("key", F.explode("m").alias("m")).where("m is not null")
+    return each.groupBy("key").agg(F.array_sort(F.collect_set("m")).alias("members"))
+
+
 def sorted_entries(m: Column) -> Column:
     """``k=v`` entries in order, joined: a form that any engine can compare."""
     return F.array_join(F.array_sort(F.transform(F.map_entries(m), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast("string")))), ",")

@@ -94,6 +94,53 @@ def choose_subcat(names: DataFrame, subcats: DataFrame, predicted: DataFrame | N
     return top_per(every, ["uid"], [F.col("rule")]).select("uid", "subcat", "subcat_source")
 
 
+def subcat_parents(names: DataFrame, parents: DataFrame) -> DataFrame:
+    """``uid, subcat``: the longest parent category (``uid, parent``) that stands in a name with all its words, then the first in order."""
+    hit = names.join(parents.where("parent <> ''").select("uid", F.col("parent").alias("subcat")).distinct(), "uid").where(contains_words(F.col("name"), F.col("subcat")))
+    return top_per(hit, ["uid"], [F.length("subcat").desc(), F.col("subcat")]).select("uid", "subcat")
+
+
+def brand_partial(names: DataFrame, brands: DataFrame) -> DataFrame:
+    """``uid, brand, window``: brands of a product that its names abbreviate (and don't hold in full), and the words that do."""
+    tried = brands.select("uid", "brand").distinct().join(names.select("uid", "name").distinct(), "uid").where(~F.contains("name", F.col("brand")))
+    hit = tried.withColumn("window", N.abbreviated(F.col("name"), F.col("brand"))).where("window is not null")
+    return hit.groupBy("uid", "brand").agg(F.min("window").alias("window"))
+
+
+def subcat_tokens(rows: DataFrame, least: int = 5) -> DataFrame:
+    """``subcat, token, n``: words that names of at least ``least`` brands of a sub-category have."""
+    return token_brand_counts(rows).where(F.col("brands") >= least).select("subcat", "token", F.col("brands").alias("n"))
+
+
+def shared_tokens(rows: DataFrame, top: int = 10, more_than: int = 3) -> DataFrame:
+    """``subcat, token, freq``: of the words that several brands of a sub-category use more than ``more_than`` times the most frequent."""
+    t = token_brand_counts(rows).where((F.col("brands") > 1) & (F.col("freq") > more_than))
+    return top_per(t, ["subcat"], [F.col("freq").desc(), F.col("token")], top).select("subcat", "token", "freq")
+
+
+def topic_input(rows: DataFrame, least_brands: int = 2, least_freq: int = 4, least_names: int = 2) -> DataFrame:
+    """``subcat, name``: names cut down to the words that several brands of their sub-category use often; empty names and sub-categories with too few names stay out."""
+    kept = token_brand_counts(rows).where((F.col("brands") >= least_brands) & (F.col("freq") >= least_freq)).select("subcat", "token")
+    each = rows.where("name is not null").select("subcat", "uid", "name").distinct().select("subcat", "uid", "name", F.posexplode(tokens("name")).alias("i", "token")).join(kept, ["subcat", "token"])
+    names = each.groupBy("subcat", "uid", "name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "token"))), lambda x: x["token"]), " ").alias("short"))
+    enough = names.groupBy("subcat").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_names).select("subcat")
+    return names.join(enough, "subcat", "left_semi").select("subcat", F.col("short").alias("name"))
+
+
+def known_strings(brands: DataFrame, subcats: DataFrame) -> DataFrame:
+    """``known``: all brands and sub-categories."""
+    return brands.select(F.col("brand").alias("known")).union(subcats.select("subcat")).where("known <> ''").distinct()
+
+
+def without_known(rows: DataFrame, text: str, known: DataFrame) -> DataFrame:
+    """Rows whose ``text`` lost every run of words that is a known string: the runs are joined, not put into one pattern, so the list may be long."""
+    w = rows.select(text).where(F.col(text).isNotNull()).distinct().withColumn("ws", tokens(text))
+    runs = w.select(text, "ws", F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.size("ws")), lambda i: F.transform(F.sequence(i, F.size("ws")), lambda j: F.struct(i.alias("i"), j.alias("j"), F.array_join(F.slice("ws", i, j - i + 1), " ").alias("known")))))).alias("r")).where("size(ws) > 0")
+    gone = runs.select(text, "ws", "r.*").join(known, "known", "left_semi").groupBy(text, "ws").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("i", "j")))).alias("at"))
+    short = gone.select(text, F.array_join(F.transform(F.filter(F.transform("ws", lambda t, i: F.struct(t.alias("t"), (i + 1).alias("i"))), lambda x: ~F.array_contains("at", x["i"])), lambda x: x["t"]), " ").alias("_short"))
+    return rows.join(short, text, "left").withColumn(text, F.coalesce("_short", text)).drop("_short").select(rows.columns)
+
+
 def merge_by_prefix(counts: DataFrame) -> DataFrame:
     """``subcat, merged``: names of over seven characters that begin another at most three longer; the most frequent of those."""
     a = counts.select("subcat", F.left("subcat", F.lit(8)).alias("b")).where(F.length("subcat") > 7)

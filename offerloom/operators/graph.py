@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.session import cut
+from offerloom.session import cut, release
 
 
 def star_edges(members: DataFrame, key: str, node: str) -> DataFrame:
@@ -29,6 +29,7 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, most_rounds: in
 
     last = sign(e)
     for _ in range(most_rounds):
+        before = e
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -36,9 +37,16 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, most_rounds: in
         joined = large.join(small_low, "u")
         e = cut(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         now = sign(e)
+        release(before)
         if now == last:
             break
         last = now
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     return all_nodes.join(e.select(F.col("u").alias("node"), "v"), "node", "left").groupBy("node").agg(F.min("v").alias("v")).select("node", F.coalesce("v", "node").alias("component"))
+
+
+def fully_connected(groups: DataFrame, connected: DataFrame) -> DataFrame:
+    """``component``: groups (``node, component``) all of whose nodes are among ``connected`` (``node``)."""
+    known = connected.select("node").distinct().withColumn("_c", F.lit(True))
+    return groups.join(known, "node", "left").groupBy("component").agg(F.bool_and(F.coalesce("_c", F.lit(False))).alias("all")).where("all").select("component")

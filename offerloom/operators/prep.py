@@ -31,9 +31,9 @@ def clean_docs(raw: DataFrame) -> DataFrame:
     return keyed_docs(raw).withColumn("barcodes", clean_barcodes(F.col("barcodes"))).transform(with_clones)
 
 
-def product_links(docs: DataFrame, market: str) -> DataFrame:
-    """``link`` of product pages of a market whose links name a variant: the part before ``?`` ends in more than digits."""
-    at = docs.where((F.col("market") == market) & F.contains("link", F.lit("?sku"))).select(F.substring_index(strip_trailing_slash("link"), "?", 1).alias("link"))
+def product_links(docs: DataFrame, market: str, marker: str = "?sku") -> DataFrame:
+    """``link`` of product pages of a market whose links name a variant by ``marker``: the part before ``?`` ends in more than digits."""
+    at = docs.where((F.col("market") == market) & F.contains("link", F.lit(marker))).select(F.substring_index(strip_trailing_slash("link"), "?", 1).alias("link"))
     return at.where(~F.element_at(F.split("link", "/"), -1).rlike("^[0-9]*$")).distinct()
 
 
@@ -70,6 +70,45 @@ def is_bad_subcat(c: Column) -> Column:
     return F.coalesce(bad, F.lit(True))
 
 
+def variant_pages(docs: DataFrame) -> DataFrame:
+    """Docs and, as docs of their own, the pages their variant maps list and no doc has; such a page takes its market and brand from the doc and its colour from the map."""
+    pages = docs.where("doc_id is not null").select("*", F.explode("variants").alias("_page", "_color")).withColumn("link", strip_trailing_slash("_page"))
+    pages = pages.join(docs.select(strip_trailing_slash("link").alias("link")).distinct(), "link", "left_anti")
+    pages = pages.withColumns({"doc_id": F.sha2("link", 256), "color": F.col("_color"), "variants": F.lit(None).cast(docs.schema["variants"].dataType), "sku_id": F.lit(None).cast("string"), "barcodes": F.lit(None).cast("array<string>")})
+    return docs.unionByName(pages.select(docs.columns))
+
+
+def usable_brands(brands: DataFrame) -> DataFrame:
+    """``brand``: different brands of three characters or more without a bad part, white space squeezed."""
+    return brands.select(F.trim(F.regexp_replace("brand", r"\s+", " ")).alias("brand")).where((F.length("brand") > 2) & ~is_bad_brand(F.col("brand"))).distinct()
+
+
+def clean_subcats(rows: DataFrame, brands: DataFrame, merged: DataFrame | None = None) -> DataFrame:
+    """``original, clean, gender`` of each different ``subcat``: cleaned, singular, merged names replaced, the gender word taken out.
+
+    Bad sub-categories and those that are a brand (``brands``: brand, cleaned) stay out. ``merged`` has ``subcat, merged``.
+    """
+    c = rows.where("subcat is not null").select(F.col("subcat").alias("original")).distinct().withColumn("clean", singular(clean_string("original")))
+    c = c.where(~is_bad_subcat(F.col("clean"))).join(brands.select(F.col("brand").alias("clean")).distinct(), "clean", "left_anti")
+    if merged is not None:
+        c = c.join(merged.select(F.col("subcat").alias("clean"), "merged"), "clean", "left").withColumn("clean", F.coalesce("merged", "clean"))
+    c = c.withColumn("gender", gender_word(F.col("clean")))
+    left = F.array_join(F.filter(F.split("clean", " "), lambda t: (t != F.coalesce("gender", F.lit(""))) & (t != "")), " ")
+    return c.select("original", F.when(left == "", F.col("clean")).otherwise(left).alias("clean"), "gender")
+
+
+def with_clean(rows: DataFrame, col: str, mapping: DataFrame) -> DataFrame:
+    """``col`` replaced by its ``clean`` form in ``mapping`` (``original, clean``); rows whose value has none lose the value, not the row."""
+    return rows.join(mapping.select(F.col("original").alias(col), F.col("clean").alias("_clean")), col, "left").withColumn(col, F.col("_clean")).drop("_clean").select(rows.columns)
+
+
+def market_subcats(docs: DataFrame, skus: DataFrame) -> DataFrame:
+    """``sku_id, market, subcats``: what each market says of the SKUs that have a product; the votes of a market once."""
+    v = subcat_votes(docs).select("doc_id", "market", F.explode("votes").alias("v"))
+    each = skus.where("product_id is not null").select("sku_id", F.explode("doc_ids").alias("doc_id"))
+    return each.join(v, "doc_id").groupBy("sku_id", "market").agg(F.array_sort(F.collect_set("v")).alias("subcats"))
+
+
 def clean_brand(c: Column | str) -> Column:
     b = clean_string(c)
     return F.when(F.contains(b, F.lit("loreal")) & ~F.contains(b, F.lit("loreal paris")), F.replace(b, F.lit("loreal"), F.lit("loreal paris"))).otherwise(b)

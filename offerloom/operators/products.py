@@ -17,9 +17,9 @@ def variant_groups(skus: DataFrame, variants: DataFrame, prefix: str = "") -> Da
     return skus.select("sku_id", F.explode("links").alias("link")).join(at, "link").select(F.col("key").cast("string").alias("key"), "sku_id").distinct()
 
 
-def product_link_groups(skus: DataFrame, links: DataFrame) -> DataFrame:
+def product_link_groups(skus: DataFrame, links: DataFrame, marker: str = "?sku") -> DataFrame:
     """``key, sku_id``: SKUs that have a variant page of one product page."""
-    each = skus.select("sku_id", F.explode("links").alias("l")).where(F.contains("l", F.lit("?sku")))
+    each = skus.select("sku_id", F.explode("links").alias("l")).where(F.contains("l", F.lit(marker)))
     return each.select("sku_id", F.substring_index("l", "?", 1).alias("link")).join(links, "link", "left_semi").select(F.col("link").alias("key"), "sku_id").distinct()
 
 
@@ -38,9 +38,9 @@ def containment_edges(skus: DataFrame) -> DataFrame:
     return top_per(ok, ["sku_id"], [F.size("c").desc(), F.col("other")]).select(F.col("sku_id").alias("src"), F.col("other").alias("dst"))
 
 
-def group_skus(skus: DataFrame, variants: DataFrame, links: DataFrame) -> DataFrame:
+def group_skus(skus: DataFrame, variants: DataFrame, links: DataFrame, marker: str = "?sku") -> DataFrame:
     """``sku_id, product_id``: components of variant maps, product pages, and containment among colour-only and size-only SKUs."""
-    stars = star_edges(variant_groups(skus, variants), "key", "sku_id").union(star_edges(product_link_groups(skus, links), "key", "sku_id"))
+    stars = star_edges(variant_groups(skus, variants), "key", "sku_id").union(star_edges(product_link_groups(skus, links, marker), "key", "sku_id"))
     colored, sized = F.size("colors") > 0, F.col("size").isNotNull() & (F.col("size") != "")
     edges = stars.union(containment_edges(skus.where(colored & ~sized))).union(containment_edges(skus.where(~colored & sized)))
     g = components(edges)

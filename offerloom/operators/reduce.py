@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerloom.constants import NO_STOCK, Config
-from offerloom.functions.collections import dedup_denull, most_common, top_per
+from offerloom.functions.collections import top_per
 from offerloom.functions.price import convert_price
-from offerloom.functions.text import tokens
+from offerloom.functions.text import strip_tracking, tokens
 from offerloom.operators.prep import clean_brand
 
 
@@ -66,21 +66,56 @@ def sku_ids(docs: DataFrame) -> DataFrame:
     return given.union(members)
 
 
+def group_categories(docs: DataFrame) -> DataFrame:
+    """``component, categories``: the last categories each market gave, by market."""
+    last = docs.where("market is not null and categories is not null").groupBy("component", "market").agg(F.max(F.struct("ord", "categories"))["categories"].alias("c"))
+    return last.groupBy("component").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("market", "c")))).alias("categories"))
+
+
+def group_variant_name(docs: DataFrame) -> DataFrame:
+    """``component, variant_name``: the first stated one, else the first name of a variant whose page is a doc of the group.
+
+    A variant's page is a doc's link if it is equal to it or to its part before a later parameter.
+    """
+    stated = docs.where("variant_name <> ''").groupBy("component").agg(F.min(F.struct("ord", "variant_name"))["variant_name"].alias("v"), F.lit(0).alias("rule"))
+    listed = docs.select("component", "ord", F.explode("variants").alias("page", "v")).where("v <> ''").select("component", "ord", "v", strip_tracking("page").alias("page"))
+    pages = F.array_distinct(F.array(F.col("link"), F.substring_index("link", "&", 1), F.substring_index("link", "?", 1)))
+    held = docs.select("component", F.explode(pages).alias("page")).distinct()
+    found = listed.join(held, ["component", "page"]).groupBy("component").agg(F.min(F.struct("ord", "v"))["v"].alias("v"), F.lit(1).alias("rule"))
+    return stated.union(found).groupBy("component").agg(F.min(F.struct("rule", "v"))["v"].alias("variant_name"))
+
+
+def group_words(named: DataFrame, most: int = 3) -> DataFrame:
+    """``component, tags, most_common_tokens`` of ``component, ord, name``: words are counted before a group's are brought together."""
+    w = named.select("component", "ord", F.posexplode(tokens("name")).alias("i", "w"))
+    c = w.groupBy("component", "w").agg((-F.count(F.lit(1))).alias("n"), F.min(F.struct("ord", "i")).alias("at"))
+    g = c.groupBy("component").agg(F.array_sort(F.collect_list(F.struct("n", "at", "w"))).alias("ws"))
+    word = lambda a: F.array_sort(F.transform(a, lambda x: x["w"]))
+    return g.select("component", F.array_join(word(F.col("ws")), " ").alias("tags"), word(F.slice("ws", 1, most)).alias("most_common_tokens"))
+
+
 def reduce_docs(docs: DataFrame, cfg: Config) -> DataFrame:
-    """SKU rows from docs with ``component``: prices, name, picture, size, unit price, union of lists, tags, ids. Lone clones stay out."""
+    """SKU rows from docs with ``component``: prices, name, picture, size, unit price, sets of values, tags, ids. Lone clones stay out.
+
+    Lists hold different values only, and are as long as the SKU has such values.
+    """
     counted = docs.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.bool_or("is_clone").alias("clone"))
     docs = docs.join(counted.where("n = 1 and clone"), "component", "left_anti")
     brand = clean_brand("brand")
     named = F.when((brand != "") & ~F.contains("clean_name", brand), F.concat_ws(" ", brand, "clean_name")).otherwise(F.col("clean_name"))
-    lists = docs.withColumn("_n", named).groupBy("component").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce("barcodes", F.array().cast("array<string>")))))).alias("barcodes"),
+    names = docs.select("component", "ord", named.alias("name")).where("name is not null")
+    first = names.groupBy("component", "name").agg(F.min("ord").alias("at")).groupBy("component").agg(F.array_sort(F.collect_list(F.struct("at", "name"))).alias("ns"))
+    first = first.select("component", F.transform("ns", lambda x: x["name"]).alias("clean_names"))
+    lists = docs.groupBy("component").agg(
         F.array_sort(F.collect_set("link")).alias("links"),
         F.array_sort(F.collect_set("doc_id")).alias("doc_ids"),
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "_n"))), lambda s: s["_n"]).alias("clean_names"),
-        F.array_sort(dedup_denull(F.collect_list("brand"))).alias("brands"),
-        F.array_sort(F.array_distinct(F.concat(F.collect_list("color"), F.collect_list("variant_name")))).alias("colors"),
+        F.array_sort(F.collect_set("brand")).alias("brands"),
+        F.array_sort(F.array_union(F.collect_set("color"), F.collect_set("variant_name"))).alias("colors"),
     )
-    words = F.flatten(F.transform("clean_names", lambda n: tokens(n)))
-    lists = lists.withColumn("_w", words).withColumn("tags", F.array_join(F.array_sort(F.array_distinct("_w")), " ")).withColumn("most_common_tokens", F.array_sort(most_common(F.col("_w"), 3))).drop("_w")
-    out = group_prices(docs, cfg).join(group_names(docs, cfg), "component").join(lists, "component").join(modal_size(docs), "component", "left").join(sku_ids(docs), "component")
+    codes = docs.select("component", F.explode("barcodes").alias("b")).groupBy("component").agg(F.array_sort(F.collect_set("b")).alias("barcodes"))
+    out = group_prices(docs, cfg).join(group_names(docs, cfg), "component").join(lists, "component").join(sku_ids(docs), "component")
+    for part in (codes, first, group_words(names), modal_size(docs), group_categories(docs), group_variant_name(docs)):
+        out = out.join(part, "component", "left")
+    none = F.array().cast("array<string>")
+    out = out.withColumns({"barcodes": F.coalesce("barcodes", none), "clean_names": F.coalesce("clean_names", none), "tags": F.coalesce("tags", F.lit("")), "most_common_tokens": F.coalesce("most_common_tokens", none)})
     return out.withColumn("unit_price", F.round(F.col("best_price") / F.col("digits"), 2))

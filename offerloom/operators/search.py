@@ -9,18 +9,32 @@ from offerloom.functions.text import clean_string, tokens
 
 
 def keyword_search(skus: DataFrame, query: str, markets: list[str] | None = None, limit: int = 24, offset: int = 0) -> DataFrame:
-    """``sku_id, name, score``: SKUs with every word of the query, up to 0, 1 or 2 edits by its length; hits in the name count double, in tags once."""
+    """``sku_id, name, score``: SKUs that have every word of the query in name or ``tags`` (where there is such a column), up to 0, 1 or 2 edits by its length.
+
+    A word that fits counts double in the name and once in the tags.
+    """
     q = skus.sparkSession.range(1).select(F.explode(F.array_distinct(tokens(clean_string(F.lit(query))))).alias("q"))
     k = F.when(F.length("q") < 3, 0).when(F.length("q") <= 5, 1).otherwise(2)
     s = skus if markets is None else skus.where(F.arrays_overlap("markets", F.array(*map(F.lit, markets))))
-    words = s.select("sku_id", "name", F.explode(F.array_distinct(tokens(clean_string("name")))).alias("w"))
+    field = lambda c, weight: s.select("sku_id", "name", F.explode(F.array_distinct(tokens(clean_string(c)))).alias("w"), F.lit(weight).alias("weight"))
+    words = field("name", 2).union(field("tags", 1)) if "tags" in s.columns else field("name", 2)
     vocabulary = words.select("w").distinct().join(F.broadcast(q)).where(F.levenshtein("w", "q") <= k)
-    hit = words.join(vocabulary, "w").groupBy("sku_id", "name", "q").agg(F.count(F.lit(1)).alias("c"))
+    hit = words.join(vocabulary, "w").groupBy("sku_id", "name", "q").agg(F.sum("weight").alias("c"))
     n = q.agg(F.count(F.lit(1)).alias("n"))
-    full = hit.groupBy("sku_id", "name").agg(F.count(F.lit(1)).alias("k"), (F.sum("c") * 2).alias("score")).join(F.broadcast(n)).where("k = n")
+    full = hit.groupBy("sku_id", "name").agg(F.count(F.lit(1)).alias("k"), F.sum("c").alias("score")).join(F.broadcast(n)).where("k = n")
     return full.orderBy(F.desc("score"), "sku_id").offset(offset).limit(limit).select("sku_id", "name", "score")
 
 
+def names_by_links(docs: DataFrame, links: DataFrame) -> DataFrame:
+    """``link, name`` of the docs that have one of the links."""
+    return docs.select("link", "name").join(links.select("link").distinct(), "link", "left_semi")
+
+
+def link_queue(docs: DataFrame) -> DataFrame:
+    """``link``: pages to fetch, the known ones and those that variant maps list."""
+    return docs.select("link").union(docs.select(F.explode(F.map_keys("variants")))).where("link <> ''").distinct()
+
+
 def by_ids(skus: DataFrame, ids: DataFrame, cols: list[str]) -> DataFrame:
     return skus.join(ids.select("sku_id").distinct(), "sku_id", "left_semi").select("sku_id", *cols)
 

@@ -5,8 +5,13 @@ Each takes and gives tables; ``publish`` writes one and swaps it in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterator
+from itertools import islice
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from offerloom.functions.collections import overlay
 
@@ -88,7 +93,44 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, cols: list[str]) -> None:
+def append(df: DataFrame, path: str) -> None:
+    """New rows beside those that are there."""
+    df.write.mode("append").parquet(path)
+
+
+def create_table(spark: SparkSession, path: str, schema: StructType) -> bool:
+    """An empty table with a schema, unless there is one; whether it was made."""
+    try:
+        spark.read.parquet(path)
+        return False
+    except AnalysisException:
+        spark.createDataFrame([], schema).write.parquet(path)
+        return True
+
+
+def write_key_values(df: DataFrame, key: str, put: Callable[[list[tuple[str, str]]], None], batch: int = 300) -> None:
+    """Rows as JSON documents by key to a store outside, ``batch`` a call, from every executor at once.
+
+    ``put`` gets (key, document) pairs and must bear being called again with the same ones, because a
+    task that is lost runs again. Rows without a key are left out.
+    """
+    rest = [c for c in df.columns if c != key]
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).cast("string"), F.to_json(F.struct(*rest)))
+
+    def send(part: Iterator) -> None:
+        while some := [tuple(r) for r in islice(part, batch)]:
+            put(some)
+
+    rows.foreachPartition(send)
+
+
+def without_numeric_ids(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose key isn't digits only; null keys stay."""
+    return df.where(~F.coalesce(F.col(key).rlike("^[0-9]+$"), F.lit(False)))
+
+
+def export_csv(df: DataFrame, path: str, cols: list[str], by: str = "sku_id") -> None:
     """Known columns in order, nulls as empty, sorted by SKU, in one file per task."""
     keep = [c for c in cols if c in df.columns]
-    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in keep]).orderBy(keep[0]).write.mode("overwrite").option("header", True).csv(path)
+    rows = df.orderBy(by) if by in df.columns else df
+    rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in keep]).write.mode("overwrite").option("header", True).csv(path)

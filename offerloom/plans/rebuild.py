@@ -19,7 +19,7 @@ def last_rows(raw: DataFrame) -> DataFrame:
 def prepared(raw: DataFrame, cfg: Config) -> DataFrame:
     """Keyed, cloned docs with clean names, without product pages."""
     docs = prep.clean_docs(last_rows(raw))
-    docs = prep.without_product_links(docs, prep.product_links(docs, cfg.product_market))
+    docs = prep.without_product_links(docs, prep.product_links(docs, cfg.product_market, cfg.variant_marker))
     return cut(prep.with_clean_names(docs))
 
 
@@ -38,5 +38,5 @@ def skus(raw: DataFrame, cfg: Config) -> DataFrame:
 def with_products(sku_rows: DataFrame, raw: DataFrame, cfg: Config) -> DataFrame:
     """SKU rows with ``product_id``, null for those in no product."""
     docs = prep.keyed_docs(raw)
-    ids = products.group_skus(sku_rows, docs.where(F.size("variants") > 0).select("ord", "variants"), prep.product_links(docs, cfg.product_market))
+    ids = products.group_skus(sku_rows, docs.where(F.size("variants") > 0).select("ord", "variants"), prep.product_links(docs, cfg.product_market, cfg.variant_marker), cfg.variant_marker)
     return sku_rows.join(ids, "sku_id", "left")
