@@ -56,6 +56,8 @@ QUANTITY = rf"(?:(?<![0-9.,a-z])[0-9]+ ?[x*×] ?)?(?<![0-9.,])(?:{_N}) ?['’`]?
 
 #: A word is read as a more frequent one if it is found no more than once beyond this share of the other's listings.
 OUTWEIGHS = 0.1
+#: Brands that set two phrases against each other, and the least share of what each is set against, for them to mean the same.
+LEARN_BRANDS, LEARN_SHARE = 5, 0.2
 
 
 def kind_forms() -> dict[str, str]:
@@ -131,6 +133,46 @@ def with_brands(parsed: DataFrame) -> DataFrame:
     return cut(got.select("doc_id", "brand", "kind", "shade", "m", F.array_except("rest", words).alias("rest"), "codes"))
 
 
+def learned_phrases(branded: DataFrame) -> DataFrame:
+    """``phrase, to``: words (an array in order) that say the same as others or nothing, learned from listings with the same code.
+
+    Two listings of one brand and one right GTIN that share two words or more are compared: what only
+    the one says against what only the other says. Phrases that ``LEARN_BRANDS`` brands or more set
+    against each other, and at least in ``LEARN_SHARE`` of what either is set against, mean the same
+    (kinds of article in two languages, abbreviations); those set against nothing mean nothing
+    (slogans). So words that the lists above don't have neither split a product nor need an entry;
+    a code of another product sets ever other phrases against each other, and none often enough.
+    """
+    codes = F.explode(F.filter("codes", lambda c: ~c.startswith("part ")))
+    each = branded.where("brand is not null").select("doc_id", "brand", F.array_sort(F.array_distinct("rest")).alias("rest"), codes.alias("code"))
+    hub = each.groupBy("brand", "code").agg(F.min(F.struct("doc_id", "rest")).alias("hub"))
+    both = each.join(hub, ["brand", "code"]).where("doc_id <> hub.doc_id").where(F.size(F.array_intersect("rest", "hub.rest")) > 1)
+    mine, other = F.array_join(F.array_except("rest", "hub.rest"), " "), F.array_join(F.array_except("hub.rest", "rest"), " ")
+    against = both.select("brand", F.explode(F.array(F.struct(mine.alias("x"), other.alias("y")), F.struct(other.alias("x"), mine.alias("y")))).alias("p")).select("brand", "p.*").where("x <> y")
+    n = against.groupBy("x", "y", "brand").agg(F.count(F.lit(1)).alias("n")).groupBy("x", "y").agg(F.count(F.lit(1)).alias("brands"), F.sum("n").alias("n"))
+    total = n.groupBy("x").agg(F.sum("n").alias("t"))
+    often = n.where(F.col("brands") >= LEARN_BRANDS).join(total, "x").where(F.col("n") >= LEARN_SHARE * F.col("t"))
+    sure = cut(often.join(often.select(F.col("y").alias("x"), F.col("x").alias("y")), ["x", "y"], "left_semi").unionByName(often.where("y = ''")).select("x", "y").distinct())
+    empty = sure.where("y = ''").select("x")
+    same = connected_components(sure.where("x <> '' and y <> ''").join(empty, "x", "left_anti"), "x", "y", "to").where("node <> to")
+    known = cut(same.select("node", "to").union(empty.where("x <> ''").select("x", F.lit(""))))
+    # a word of a target may itself be read as another one (an abbreviation)
+    single = known.where(~F.contains("node", F.lit(" "))).select(F.col("node").alias("w"), F.col("to").alias("then"))
+    words = known.select("node", F.explode(F.split("to", " ")).alias("w")).join(single, "w", "left").groupBy("node").agg(F.array_join(F.array_sort(F.collect_set(F.coalesce("then", "w"))), " ").alias("to"))
+    return cut(words.select(F.split("node", " ").alias("phrase"), F.trim("to").alias("to")))
+
+
+def with_learned(branded: DataFrame) -> DataFrame:
+    """``rest`` with the learned phrases replaced or taken out."""
+    phrases = learned_phrases(branded)
+    if phrases.isEmpty():
+        return branded
+    said = branded.select("doc_id", "rest", F.explode("rest").alias("word")).join(phrases.withColumn("word", F.get("phrase", F.lit(0))), "word").where(F.size(F.array_except("phrase", "rest")) == 0)
+    change = said.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("phrase"))).alias("gone"), F.collect_set("to").alias("come"))
+    new = F.array_union(F.array_except("rest", "gone"), F.flatten(F.transform("come", lambda t: tokens(t))))
+    return cut(branded.join(change, "doc_id", "left").withColumn("rest", F.coalesce(new, "rest")).drop("gone", "come"))
+
+
 def with_words(branded: DataFrame) -> DataFrame:
     """Adds ``words``: the line and the description of a name in order, the spelling corrected.
 
@@ -213,7 +255,7 @@ def product_links(raw_docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     Guard: every link stays in one family, and a listing without a variant gets one link only, so no
     chain of links joins two variants or families whatever codes they share.
     """
-    d = with_variants(with_words(with_brands(parse(raw_docs)))).where("family is not null")
+    d = with_variants(with_words(with_learned(with_brands(parse(raw_docs))))).where("family is not null")
     known, lacking = d.where("variant is not null"), d.where("variant is null")
     hub = cut(known.groupBy("family", "variant").agg(F.min("doc_id").alias("src")))
     by_code = known.select("family", F.explode("codes").alias("code"), "variant").groupBy("family", "code", "variant").agg(F.count(F.lit(1)).alias("n"))

@@ -149,6 +149,20 @@ def test_listings_recall_at_two_sizes(spark, n_brands):
     assert len(got & want) >= 0.97 * len(want) and len(got & want) >= 0.99 * len(got)
 
 
+def test_unlisted_words_are_learned_from_shared_codes(spark):
+    """A kind in two languages and a slogan that no list has: codes shared by some products teach them, others without codes profit."""
+    words, rows, want = ["bir", "iki", "uc", "dort", "bes", "alti", "yedi", "sekiz"], [], set()
+    for i, w in enumerate(words):
+        b, line = f"Marka{w}".capitalize(), f"Satir{w}"
+        code = ["8690000000012", "8690000000029", "8690000000036", "8690000000043", "8690000000050", "8690000000067", None, None][i]
+        for form in (f"{b} {line} Serin Limon Lamba Ampul 10 adet", f"{b} {line} Serin Limon Bulbo Lux 10 adet", f"{b} {line} Serin Limon Lamba Ampul 10 adet Kapandik"):
+            rows.append((f"{len(rows):03d}", form, b, None if code is None else [code], None, len(rows), ""))
+        ids = [f"{3 * i + j:03d}" for j in range(3)]
+        want |= {(ids[0], ids[1]), (ids[0], ids[2]), (ids[1], ids[2])}
+    df = spark.createDataFrame(rows, DOCS)
+    assert {tuple(r) for r in listings.same_product_pairs(df).collect()} == want
+
+
 def test_part_numbers_give_the_variant(spark):
     rows = [("a", "Cunarnot Cekentizi XK4410B Şampuan 500 ml", "Cunarnot"), ("b", "Cunarnot Cekentizi XK4410B Şampuan 250 ml", "Cunarnot"), ("c", "Cunarnot Cekentizi XK4410B Şampuan", "Cunarnot"), ("d", "Cunarnot Cekentizi XK4410B Şampuan 0,5 lt", "Cunarnot")]
     df = spark.createDataFrame([(*r, None, None, i, "") for i, r in enumerate(rows)], DOCS)
