@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerloom import catalog_queries, stream_queries
+from offerloom import catalog_queries, function_queries, stream_queries
 from offerloom.constants import Config
 from offerloom.functions import collections as C
 from offerloom.functions import text as T
@@ -220,8 +220,8 @@ ORACLES = {
 
 
 def queries() -> Q:
-    return problem_queries() | reference_queries() | stream_queries.queries() | catalog_queries.queries()
+    return problem_queries() | reference_queries() | stream_queries.queries() | catalog_queries.queries() | function_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5_FOUND} | ORACLES | stream_queries.ORACLES | catalog_queries.oracle_sql()
+    return {"p5_found": P5_FOUND} | ORACLES | stream_queries.ORACLES | catalog_queries.oracle_sql() | function_queries.oracle_sql()
