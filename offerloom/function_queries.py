@@ -13,7 +13,7 @@ from offerloom.functions import collections as C
 from offerloom.functions import text as T
 from offerloom.functions.barcode import url_barcode
 from offerloom.functions.price import locale_price
-from offerloom.operators import edges, enrich, prep, products, reduce, search, sync
+from offerloom.operators import edges, enrich, prep, products, reduce, search, sync, topics
 from offerloom.plans import rebuild
 from offerloom.session import ensure_checkpoint_dir
 from offerloom.sources import connectors as cn
@@ -224,6 +224,9 @@ FUNCTIONS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
         _q(lambda k: enrich.choose_sub_brand(_sub_brand_rows(k), enrich.sub_brand_candidates(enrich.word_group_counts(_sub_brand_rows(k)))), "skus"),
         f"with {SB}, hit as (select d.uid, sb.wg, row_number() over (partition by d.uid order by sb.count desc, sb.wg) as rn from d join sb using (subcat, brand) where contains(d.name, sb.wg) and len(list_filter({WS('sb.wg')}, lambda t: not list_contains({WS('d.name')}, t))) = 0) select uid, wg as sub_brand from hit where rn = 1",
     ),
+    "subcat_topics": (_q(lambda k: topics.subcat_topics(enrich.topic_input(_rows(k)).withColumn("uid", F.monotonically_increasing_id())), "skus"), None),
+    "nmf_topics": (_q(topics.nmf_topics, "documents"), None),
+    "lsi_topics": (_q(topics.lsi_topics, "documents"), None),
     "search_paged": (
         _q(lambda k: search.keyword_search(k.where("name is not null").select("sku_id", _low("name").alias("name"), F.array("market").alias("markets")), "limon", ["kavsak", "pirilti"], limit=5, offset=2), "skus"),
         None,

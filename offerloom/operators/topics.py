@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, NGram, RegexTokenizer, StringIndexer
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +53,107 @@ def lda_topics(rows: DataFrame, text: str = "text", k: int = 7, vocabulary: int
     return model.describeTopics(1).select("topic", F.get(terms, F.get("termIndices", F.lit(0))).alias("term"), F.get("termWeights", F.lit(0)).alias("weight"))
 
 
+def _grams(rows: DataFrame, text: str) -> DataFrame:
+    """Rows with ``term, n``: their words of two characters or more and pairs of words, counted."""
+    w = rows.where(F.col(text).isNotNull()).withColumn("_w", F.filter(F.split(F.lower(text), r"\W+"), lambda w: F.length(w) > 1))
+    pairs = F.transform(F.slice("_w", 1, F.greatest(F.size("_w") - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", x, F.get("_w", i + 1)))
+    return w.select(*rows.columns, F.explode(F.concat("_w", pairs)).alias("term")).drop(text).groupBy(*[c for c in rows.columns if c != text], "term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def subcat_topics(rows: DataFrame, k: int = 7, vocabulary: int = 800, passes: int = 10, alpha: float = 0.1, eta: float = 0.1, seed: int = 0) -> DataFrame:
+    """``subcat, topic, term``: the first term of each topic of each sub-category; rows have ``subcat, uid, name``.
+
+    Every sub-category has its own ``k`` topics over its ``vocabulary`` most frequent words and pairs,
+    and all are fitted at once: latent Dirichlet allocation by expectation maximisation (smoothing
+    ``alpha`` of a name's topics and ``eta`` of a topic's terms). Shares lie in tables by (subcat, term)
+    and by name, so a pass is two joins and two aggregates over the words whatever the number of
+    sub-categories, and a large one is no single task's.
+    """
+    named = rows.where("subcat is not null and uid is not null").select("subcat", "uid", "name")
+    grams = _grams(named, "name")
+    vocab = top_per(grams.groupBy("subcat", "term").agg(F.sum("n").alias("t")), ["subcat"], [F.col("t").desc(), F.col("term")], vocabulary).select("subcat", "term")
+    words = cut(grams.join(vocab, ["subcat", "term"]))
+    start = F.array(*[1 + F.pmod(F.xxhash64("subcat", "term", F.lit(i), F.lit(seed)), F.lit(1000)) / 1000 for i in range(k)])
+
+    def shares(t: DataFrame, keys: list[str], col: str) -> DataFrame:
+        """``col`` divided by its sum over the rows of the same keys, topic by topic."""
+        total = t.groupBy(*keys).agg(F.array(*[F.sum(F.get(col, F.lit(i))) for i in range(k)]).alias("_t"))
+        return t.join(total, keys).withColumn(col, F.zip_with(col, "_t", lambda a, b: a / b)).drop("_t")
+
+    phi = shares(vocab.select("subcat", "term", start.alias("phi")), ["subcat"], "phi")
+    theta = words.select("subcat", "uid").distinct().select("subcat", "uid", F.array(*[F.lit(1.0 / k)] * k).alias("theta"))
+    for _ in range(passes):
+        both = words.join(phi, ["subcat", "term"]).join(theta, ["subcat", "uid"]).withColumn("r", F.zip_with("phi", "theta", lambda a, b: a * b))
+        both = cut(both.select("subcat", "uid", "term", F.transform("r", lambda x: x * F.col("n") / F.aggregate("r", F.lit(0.0), lambda a, y: a + y)).alias("r")))
+        summed = lambda keys, to, add: both.groupBy(*keys).agg(F.array(*[F.sum(F.get("r", F.lit(i))) + add for i in range(k)]).alias(to))  # noqa: B023, E731
+        phi = cut(shares(summed(["subcat", "term"], "phi", eta), ["subcat"], "phi"))
+        t = summed(["subcat", "uid"], "theta", alpha)
+        theta = cut(t.select("subcat", "uid", F.transform("theta", lambda x: x / F.aggregate("theta", F.lit(0.0), lambda a, y: a + y)).alias("theta")))
+    each = phi.select("subcat", "term", F.posexplode("phi").alias("topic", "p"))
+    return top_per(each, ["subcat", "topic"], [F.col("p").desc(), F.col("term")]).select("subcat", "topic", "term")
+
+
+def _matrix(rows: DataFrame, text: str, vocabulary: int) -> tuple[DataFrame, list[str]]:
+    """``terms, ns`` (places in the vocabulary and counts) of each row, and the vocabulary, which is bounded by its parameter."""
+    grams = _grams(rows.select(text).withColumn("_id", F.monotonically_increasing_id()), text)
+    top = grams.groupBy("term").agg(F.sum("n").alias("t")).where("t > 1").orderBy(F.desc("t"), "term").limit(vocabulary)
+    words = [r.term for r in top.collect()]
+    place = rows.sparkSession.createDataFrame(list(enumerate(words)), "i int, term string")
+    each = grams.join(F.broadcast(place), "term").groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("i", "n"))).alias("x"))
+    return cut(each.select(F.transform("x", lambda e: e["i"]).alias("terms"), F.transform("x", lambda e: e["n"].cast("double")).alias("ns"))), words
+
+
+def nmf_topics(rows: DataFrame, text: str = "text", k: int = 7, vocabulary: int = 800, passes: int = 10, inner: int = 10, seed: int = 0) -> DataFrame:
+    """``topic, term, weight``: the first term of each factor of a non-negative factorisation (squared error) of the counts.
+
+    A pass fits every row's weights to the factors by multiplicative steps, row by row within its batch,
+    and sums what the factors' own step needs; the driver holds the factors only (``k`` by ``vocabulary``).
+    """
+    x, words = _matrix(rows, text, vocabulary)
+    m = len(words)
+    if not m:
+        return rows.sparkSession.createDataFrame([], "topic int, term string, weight double")
+    h = np.random.default_rng(seed).random((k, m)) + 0.1
+
+    def sums(h: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            a = np.zeros((k, m + k))
+            for b in batches:
+                for terms, ns in zip(b.terms, b.ns):
+                    part, w = h[:, terms], np.full(k, ns.sum() / k)
+                    over = part @ ns
+                    for _ in range(inner):
+                        w *= over / np.maximum(gram @ w, 1e-12)
+                    a[:, terms] += np.outer(w, ns)
+                    a[:, m:] += np.outer(w, w)
+            i, j = np.nonzero(a)
+            yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "v": a[i, j]})
+
+        gram = h @ h.T
+        out = np.zeros((k, m + k))
+        for r in x.mapInPandas(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
+            out[r.i, r.j] = r.v
+        return out
+
+    for _ in range(passes):
+        a = sums(h)
+        h *= a[:, :m] / np.maximum(a[:, m:] @ h, 1e-12)
+    best = [(i, words[int(h[i].argmax())], float(round(h[i].max() / max(h[i].sum(), 1e-12), 6))) for i in range(k)]
+    return rows.sparkSession.createDataFrame(best, "topic int, term string, weight double")
+
+
+def lsi_topics(rows: DataFrame, text: str = "text", k: int = 2, vocabulary: int = 800) -> DataFrame:
+    """``topic, term, weight``: the term of greatest weight in each of the first singular vectors of TF-IDF over words seen twice or more."""
+    t = RegexTokenizer(inputCol=text, outputCol="_w", gaps=False, pattern=r"\w{2,}").transform(rows.where(F.col(text).isNotNull()).select(text))
+    cv = CountVectorizer(inputCol="_w", outputCol="_c", minDF=2, vocabSize=vocabulary).fit(t)
+    c = cv.transform(t)
+    x = cut(IDF(inputCol="_c", outputCol="x").fit(c).transform(c).select("x"))
+    svd = RowMatrix(MLUtils.convertVectorColumnsFromML(x, "x")).computeSVD(k, computeU=False)
+    v = np.abs(svd.V.toArray())
+    best = [(i, cv.vocabulary[int(v[:, i].argmax())], float(round(v[:, i].max(), 6))) for i in range(v.shape[1])]
+    return rows.sparkSession.createDataFrame(best, "topic int, term string, weight double")
+
+
 def top_tfidf(rows: DataFrame, group: str, text: str) -> DataFrame:
     """``group, token, score``: the word with the greatest term frequency times log inverse group frequency."""
     t = rows.where(F.col(group).isNotNull()).select(group, F.explode(tokens(F.lower(text))).alias("token"))
