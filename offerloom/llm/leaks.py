@@ -4,8 +4,8 @@ Method: a positional inverted index. Its terms are pairs of neighbouring words,
 document, position). For every run of words that would count, the rarest term of the run in the
 corpus gives the candidates: a posting of it fixes at which offset the passage would lie. The lists of
 the other terms, adjusted by their offset, are then intersected with the candidates, and runs of
-matches long enough are the exact phrases. Proximity matches take the hits of neighbouring offsets
-together, so that words put in or left out don't break them.
+matches long enough are the exact phrases. Proximity matches take the hits of a chain of neighbouring
+offsets together, so that words put in or left out don't break them.
 
 Scale: only terms of the passages are posted, by an equality join on the passages' terms, whose number
 depends on the held-out set and not on the corpus. Candidates come from the rarest terms, so their
@@ -71,12 +71,15 @@ def exact_phrases(documents: DataFrame, eval_items: DataFrame, least: int = 10)
 def near_phrases(documents: DataFrame, eval_items: DataFrame, least: int = 10, share: float = 0.5, slack: int = 2) -> DataFrame:
     """``doc_id, item_id, share``: passages of which at least ``share`` lies in a document with up to ``slack`` words put in or left out between the parts.
 
-    Candidates need only half as long a run as exact phrases. Hits at offsets whose bands of ``slack``
-    are equal or neighbours count together.
+    Candidates need only half as long a run as exact phrases. Offsets of a document and passage that lie
+    within ``slack`` of the next one form a chain, so many small changes may add up; the hits of a chain
+    count together.
     """
     total = _terms(eval_items, "item_id", "text").groupBy(F.col("id").alias("item_id")).agg(F.count(F.lit(1)).alias("n"))
-    hits = offsets(documents, eval_items, max(2, least // 2)).distinct()
-    band = F.floor(F.col("off") / (slack + 1))
-    both = hits.select("doc_id", "item_id", "ipos", F.explode(F.array(band, band + 1)).alias("band")).distinct()
-    held = both.groupBy("doc_id", "item_id", "band").agg(F.count(F.lit(1)).alias("k")).groupBy("doc_id", "item_id").agg(F.max("k").alias("k"))
+    hits = cut(offsets(documents, eval_items, max(2, least // 2)).distinct())
+    by_off = W.partitionBy("doc_id", "item_id").orderBy("off")
+    apart = F.coalesce(F.col("off") - F.lag("off").over(by_off) > slack, F.lit(True)).cast("int")
+    chains = hits.select("doc_id", "item_id", "off").distinct().withColumn("apart", apart).select("doc_id", "item_id", "off", F.sum("apart").over(by_off).alias("chain"))
+    both = hits.join(chains, ["doc_id", "item_id", "off"]).select("doc_id", "item_id", "chain", "ipos").distinct()
+    held = both.groupBy("doc_id", "item_id", "chain").agg(F.count(F.lit(1)).alias("k")).groupBy("doc_id", "item_id").agg(F.max("k").alias("k"))
     return held.join(total, "item_id").select("doc_id", "item_id", F.round(F.col("k") / F.col("n"), 4).alias("share")).where(F.col("share") >= share)

@@ -120,6 +120,17 @@ def test_listings(spark):
     assert listings.same_product_pairs(df.limit(0)).count() == 0
 
 
+def test_small_changes_add_up(spark):
+    """A word put in after every sixth: the passage is still found nearly whole; far-off single words are not."""
+    w = [f"w{i}" for i in range(60)]
+    spread = [x for i, y in enumerate(w) for x in ([y, "yeni"] if i % 6 == 5 else [y])]
+    e = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    d = spark.createDataFrame([(1, " ".join(spread)), (2, " ".join(x for i in range(0, 60, 3) for x in (w[i], w[i + 1], *["z"] * 9))), (3, " ".join(w[:20]))], "doc_id long, text string")
+    got = {r.doc_id: r.share for r in leaks.near_phrases(d, e, slack=1).collect()}
+    assert set(got) == {1} and got[1] >= 0.8
+    assert {r.doc_id for r in leaks.near_phrases(d, e, share=0.3).collect()} == {1, 3}
+
+
 def made_listings(n_brands: int, per_brand: int, seed: int = 5):
     """Listings of known products under many brands, a few misspelt; lines recur with other brands."""
     rng = random.Random(seed)
