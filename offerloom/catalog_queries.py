@@ -16,7 +16,9 @@ from offerloom.operators import edges, enrich, evaluation, graph, prep, products
 from offerloom.plans import enrichment, rebuild
 from offerloom.sources.tables import table
 
-CFG = Config(name_rank={"kavsak": 8, "pirilti": 7, "bakkalim": 6}, src_rank={"mavisepet": 7, "bakkalim": 6, "renklidepo": 3}, product_market="sahilmar", variant_marker="?v=")
+#: These shops know a page by its number, whatever words stand before it.
+LINK_KEY = (r"^(https?://[^/]+)/[^/]*(-p-[0-9]+)$", "$1$2")
+CFG = Config(name_rank={"kavsak": 8, "pirilti": 7, "bakkalim": 6}, src_rank={"mavisepet": 7, "bakkalim": 6, "renklidepo": 3}, product_market="sahilmar", variant_marker="?v=", link_key=LINK_KEY)
 
 
 def _q(make: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -69,7 +71,7 @@ def _variant_skus(r: DataFrame) -> DataFrame:
 
 def _evaluated(r: DataFrame) -> DataFrame:
     docs = rebuild.prepared(r, CFG)
-    return evaluation.evaluate_matching(docs, edges.staged_edges(docs))
+    return evaluation.evaluate_matching(docs, edges.staged_edges(docs, CFG.link_key))
 
 
 def _enriched(k: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ class Config:
     src_rank: dict[str, int] = field(default_factory=dict)
     product_market: str = "gratis"
     variant_marker: str = "?sku"
+    link_key: tuple[str, str] | None = None
     most_spread: float = 3.0
     deal_share: float = 0.7
     deal_prices: int = 4

@@ -205,8 +205,8 @@ FUNCTIONS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "sku_id_choice": (_q(lambda r: reduce.sku_ids(r.where("doc_id is not null and market is not null").select(F.col("market").alias("component"), "doc_id", "sku_id", "ord", F.lit(False).alias("is_clone"))), "raw_docs"), None),
     # enrichment
     "values_cleaned": (
-        _q(lambda k: prep.with_clean(k.select("ord", "category"), "category", k.where("category is not null").select(F.col("category").alias("original"), F.upper("category").alias("clean")).where("clean <> 'X'").distinct().where(F.length("original") > 5)), "skus"),
-        None,
+        _q(lambda k: prep.with_clean(k.select("ord", "category"), "category", k.where("category is not null").select(F.col("category").alias("original"), F.concat(F.lit("> "), "category").alias("clean")).distinct().where(F.length("original") > 5)), "skus"),
+        "select ord, case when length(category) > 5 then '> ' || category end as category from skus",
     ),
     "merge_prefix_counts": (
         _q(lambda p: enrich.merge_by_prefix(_stems(p)), "part"),
@@ -228,8 +228,10 @@ FUNCTIONS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "nmf_topics": (_q(topics.nmf_topics, "documents"), None),
     "lsi_topics": (_q(topics.lsi_topics, "documents"), None),
     "search_paged": (
-        _q(lambda k: search.keyword_search(k.where("name is not null").select("sku_id", _low("name").alias("name"), F.array("market").alias("markets")), "limon", ["kavsak", "pirilti"], limit=5, offset=2), "skus"),
-        None,
+        _q(lambda p: search.keyword_search(p.select(F.col("p_partkey").alias("sku_id"), F.col("p_name").alias("name"), F.array("p_type").alias("markets")), "widgett red", ["SMALL", "ECONOMY"], limit=5, offset=2), "part"),
+        """with w as (select p_partkey as sku_id, p_name as name, unnest(list_distinct(string_split(p_name, ' '))) as w from part where p_type in ('SMALL', 'ECONOMY')), q as (select unnest(['widgett', 'red']) as q),
+           h as (select sku_id, name, q, 2 * count(*) as c from w join q on levenshtein(w, q) <= case when length(q) < 3 then 0 when length(q) <= 5 then 1 else 2 end group by 1, 2, 3)
+           select sku_id, name, sum(c) as score from h group by 1, 2 having count(*) = 2 order by score desc, sku_id limit 5 offset 2""",
     ),
 }
 

@@ -70,16 +70,21 @@ def containment_matches(singles: DataFrame, groups: DataFrame) -> DataFrame:
     return top_per(cand.where(ok), ["doc_id"], [F.size("common_tokens").desc(), F.col("component")]).select("doc_id", "component", "first")
 
 
-def promoted_edges(docs: DataFrame, connected: DataFrame) -> DataFrame:
-    """Referrer and target of promoted links: the target has no barcode, one referrer, and isn't connected yet."""
+def promoted_edges(docs: DataFrame, connected: DataFrame, link_key: tuple[str, str] | None = None) -> DataFrame:
+    """Referrer and target of promoted links: the target has no barcode, one referrer, and isn't connected yet.
+
+    ``link_key``, a pattern and what to put for it, reduces the links of shops that know a page by a part of its address.
+    """
+    page = lambda c: F.regexp_replace(c, *link_key) if link_key else c
+    docs = docs.withColumn("link", page(F.col("link")))
     by_link = docs.groupBy("link").agg(F.max(F.struct("ord", "doc_id", "barcodes"))["doc_id"].alias("dst"), F.max_by("barcodes", "ord").alias("tb"))
-    refs = docs.where(F.size("promoted") > 0).select(F.col("doc_id").alias("src"), F.explode("promoted").alias("seller", "link")).withColumn("link", strip_tracking("link")).select("src", "link").distinct()
+    refs = docs.where(F.size("promoted") > 0).select(F.col("doc_id").alias("src"), F.explode("promoted").alias("seller", "link")).withColumn("link", page(strip_tracking("link"))).select("src", "link").distinct()
     hit = refs.join(by_link, "link").where((F.coalesce(F.size("tb"), F.lit(0)) < 1) & (F.col("src") != F.col("dst"))).select("src", "dst").distinct()
     once = hit.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("src")).where("n = 1")
     return once.join(connected.withColumnRenamed("doc_id", "dst"), "dst", "left_anti").select("src", "dst")
 
 
-def staged_edges(docs: DataFrame) -> DataFrame:
+def staged_edges(docs: DataFrame, link_key: tuple[str, str] | None = None) -> DataFrame:
     """``src, dst, stage`` of all stages in order, each seeing the docs connected before it."""
     docs = cut(docs.select("doc_id", "link", "ord", "clean_name", "sizes", "barcodes", "promoted", "is_clone"))
     one = cut(barcode_edges(docs))
@@ -92,6 +97,6 @@ def staged_edges(docs: DataFrame) -> DataFrame:
     singles = docs.where("not is_clone").join(known, "doc_id", "left_anti")
     three = cut(containment_matches(singles, info).select(F.col("first").alias("src"), F.col("doc_id").alias("dst")))
     known = known.union(ends(three)).distinct()
-    four = promoted_edges(docs, known)
+    four = promoted_edges(docs, known, link_key)
     tag = lambda e, s: e.select("src", "dst", F.lit(s).alias("stage"))
     return tag(one, "barcode").union(tag(two, "exact_name")).union(tag(three, "set_match")).union(tag(four, "promoted"))

@@ -23,16 +23,16 @@ def prepared(raw: DataFrame, cfg: Config) -> DataFrame:
     return cut(prep.with_clean_names(docs))
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, cfg: Config) -> DataFrame:
     """Docs with their component; docs that no stage links are their own."""
-    e = cut(edges.staged_edges(docs))
+    e = cut(edges.staged_edges(docs, cfg.link_key))
     g = graph.components(e, docs.select(F.col("doc_id").alias("node")))
     return cut(docs.join(g.withColumnRenamed("node", "doc_id"), "doc_id"))
 
 
 def skus(raw: DataFrame, cfg: Config) -> DataFrame:
     """SKU rows of the whole table."""
-    return cut(reduce.reduce_docs(grouped(prepared(raw, cfg)), cfg))
+    return cut(reduce.reduce_docs(grouped(prepared(raw, cfg), cfg), cfg))
 
 
 def with_products(sku_rows: DataFrame, raw: DataFrame, cfg: Config) -> DataFrame:

@@ -48,7 +48,7 @@ select link, cast(floor(tm / 1000000) as bigint) as valid_from from v where befo
 """
 
 
-CFG = Config(name_rank={"kavsak": 8, "pirilti": 7, "bakkalim": 6}, src_rank={"mavisepet": 7, "bakkalim": 6, "renklidepo": 3}, product_market="gratis")
+CFG = catalog_queries.CFG
 
 
 def _subcat_counts(d: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def reference_queries() -> Q:
         "no_barcodes": _q(lambda r: r.where("barcodes is null").select("ord"), "raw_docs"),
         # graph and SKUs
         "barcode_components": _q(lambda r: graph.components(edges.barcode_edges(r.select("doc_id", clean_barcodes(F.col("barcodes")).alias("barcodes")))).select(F.col("node").alias("doc_id"), "component"), "raw_docs"),
-        "sku_edges": _q(lambda r: edges.staged_edges(rebuild.prepared(r, CFG)).groupBy("stage").agg(F.count(F.lit(1)).alias("n")), "raw_docs"),
+        "sku_edges": _q(lambda r: edges.staged_edges(rebuild.prepared(r, CFG), CFG.link_key).groupBy("stage").agg(F.count(F.lit(1)).alias("n")), "raw_docs"),
         "sku_rows": _q(lambda r: rebuild.skus(r, CFG).select("sku_id", "name", "best_price", "market_count", "size", "unit_price", "tags"), "raw_docs"),
         "sku_products": _q(lambda r: rebuild.with_products(rebuild.skus(r, CFG), r, CFG).select("sku_id", "product_id"), "raw_docs"),
         "product_rows": _q(lambda k: products.product_rows(k.where("sku_id is not null").select("sku_id", "product_id", F.array_compact(F.array("name")).alias("clean_names"), F.array_compact(F.array("brand")).alias("brands"), F.array_compact(F.array("color")).alias("colors"), F.coalesce("barcodes", F.array().cast("array<string>")).alias("barcodes"))).select("uid", "kind", F.size("clean_names").cast("long").alias("n_names"), F.size("sku_ids").cast("long").alias("n_skus")), "skus"),
