@@ -255,6 +255,7 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     # lookups
     "link_queue": (_q(search.link_queue, "raw_docs"), "select link from raw_docs where link <> '' union select unnest(map_keys(variants)) from raw_docs"),
     "names_by_links": (_q(lambda r, i: search.names_by_links(r, i), "raw_docs", "items"), "select link, name from raw_docs where link in (select link from items)"),
+    "docs_of_markets": (lambda s, d: table(s, d, "raw_docs", ("ord", "link"), ("kavsak", "pirilti")), "select ord, link from raw_docs where market in ('kavsak', 'pirilti')"),
     "skus_by_ids": (_q(lambda k, r: search.by_ids(k, r, ["ord", "name"]), "skus", "raw_docs"), "select sku_id, ord, name from skus where sku_id in (select sku_id from raw_docs)"),
 }
 

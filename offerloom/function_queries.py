@@ -12,6 +12,7 @@ from offerloom.catalog_queries import CFG, ROWS, WS, _low, _rows
 from offerloom.functions import collections as C
 from offerloom.functions import text as T
 from offerloom.functions.barcode import url_barcode
+from offerloom.functions.names import clean_name_udf, first_size_udf
 from offerloom.functions.price import locale_price
 from offerloom.operators import edges, enrich, prep, products, reduce, search, sync, topics
 from offerloom.plans import rebuild
@@ -100,6 +101,13 @@ def _searched(p: DataFrame) -> DataFrame:
     return cn.read_search(pages, SHOPS["search"]).select("link", "name", F.array_join("barcodes", ",").alias("codes"))
 
 
+def _sold(p: DataFrame):
+    """Names of parts as shops would write them: a size in one of several notations, a code, stop words and a single letter."""
+    n = F.col("p_size").cast("string")
+    size = F.when(F.col("p_size") < 10, F.concat(n, F.lit(" KG"))).when(F.col("p_size") < 20, F.concat(F.lit("2 x "), n, F.lit(" Lt."))).when(F.col("p_size") < 30, F.lit("0,75 litre")).when(F.col("p_size") < 40, F.concat(n, F.lit("'lü"))).otherwise(F.concat(F.lit("3 kg "), n, F.lit(" Yıkama")))
+    return F.concat_ws(" ", "p_name", F.lit("ve"), size, F.lit("12345678 x Set"))
+
+
 def _named_docs(p: DataFrame) -> DataFrame:
     """Parts as docs of the matching stages: name, a size for some, a barcode for a few."""
     size = F.when(F.col("p_size") > 25, F.array(F.struct(F.col("p_size").cast("double").alias("digits"), F.lit("gr").alias("unit")))).otherwise(F.array().cast("array<struct<digits:double,unit:string>>"))
@@ -151,6 +159,29 @@ def _stems(p: DataFrame) -> DataFrame:
     return p.groupBy(F.when(F.col("p_size") < 20, n).when(F.col("p_size") < 35, F.concat(n, F.lit("ler"))).otherwise(F.concat(n, F.lit("s"))).alias("subcat")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _named(k: DataFrame) -> DataFrame:
+    return k.where("name is not null and sku_id is not null").select(F.col("sku_id").alias("uid"), F.col("ord").alias("pos"), _low("name").alias("name"))
+
+
+def _voted(k: DataFrame) -> DataFrame:
+    return k.where("trim(category) <> '' and sku_id is not null").select(F.col("sku_id").alias("uid"), F.col("ord").alias("pos"), _low("category").alias("subcat"))
+
+
+VOTES = "f as (select sku_id as uid, lower(replace(category, 'İ', 'i')) as subcat, count(*) as n, min(ord) as first from skus where trim(category) <> '' and sku_id is not null group by 1, 2)"
+NAMED = f"nm as (select sku_id as uid, ord as pos, lower(replace(name, 'İ', 'i')) as name, {WS("lower(replace(name, 'İ', 'i'))")} as ws from skus where name is not null and sku_id is not null)"
+_PAIRS = "list_zip(ws[i:i + len(s) - 1], s)"
+_SHARED = "list_intersect(ws[i:i + len(s) - 1], s)"
+PARTIAL = f"""{VOTES}, {NAMED}, cand as (select f.*, pos, ws, {WS('subcat')} as s from f join nm using (uid) where not contains(name, subcat)),
+  found as (select *, list_filter(range(1, greatest(len(ws) - len(s) + 2, 1)), lambda i: (len({_SHARED}) > 1 or (len({_SHARED}) = 1 and length({_SHARED}[1]) > 3))
+    and len(list_filter({_PAIRS}, lambda p: not (starts_with(p[1], p[2]) or starts_with(p[2], p[1])))) = 0 and len(list_filter({_PAIRS}, lambda p: p[1] <> p[2] and length(p[1]) = 1)) < 2) as hits from cand where len(s) > 1),
+  partial as (select uid, subcat, array_to_string(ws[hits[1]:hits[1] + len(s) - 1], ' ') as win, row_number() over (partition by uid order by n desc, first, pos) as rn from found where len(hits) > 0)"""
+CASCADE = f"""with {PARTIAL},
+  lr as (select f.*, row_number() over (partition by uid order by n desc, first) as rn from f join nm using (uid) where subcat <> '' and contains(name, subcat) and (contains(subcat, ' ') or len(list_filter({WS('subcat')}, lambda t: not list_contains(ws, t))) = 0)),
+  mj as (select uid, min(subcat) as subcat from (select *, max(n) over (partition by uid) as x from f) where n = x group by uid having count(*) = 1),
+  gw as (select distinct uid, unnest(flatten(list_transform(range(1, len(ws)), lambda i: list_transform(range(i + 1, len(ws) + 1), lambda j: array_to_string(ws[i:j], ' '))))) as subcat from nm),
+  gl as (select uid, subcat, row_number() over (partition by uid order by length(subcat) desc, subcat) as rn from gw where subcat in (select subcat from f)),
+  every as (select uid, subcat, 'local_name' as src, 0 as r from lr where rn = 1 union all select uid, subcat, 'partial', 1 from partial where rn = 1 union all select uid, subcat, 'majority', 2 from mj union all select uid, subcat, 'global_name', 3 from gl where rn = 1),
+  top as (select *, row_number() over (partition by uid order by r) as rn from every) select uid, subcat, src as subcat_source from top where rn = 1"""
 FUNCTIONS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     # text
     "text_stopwords": (_q(lambda p: p.select("p_partkey", F.array_join(T.drop_stopwords(T.tokens(F.concat_ws(" ", "p_name", F.lit("ve kg tuz ile tuz")))), " ").alias("t")), "part"), "select p_partkey, p_name || ' tuz tuz' as t from part"),
@@ -169,6 +200,14 @@ FUNCTIONS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
     "price_locale_d": (_q(lambda p: p.select("p_partkey", locale_price(F.concat(F.col("p_retailprice").cast("int").cast("string"), F.lit(",25.x")), "D").alias("p")), "part"), "select p_partkey, trunc(p_retailprice) + 0.25 as p from part"),
     "url_codes": (_q(lambda p: p.select("p_partkey", url_barcode(F.concat(F.lit("/i/8690"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"), F.lit("_2.jpg"))).alias("c")), "part"), "select p_partkey, '8690' || lpad(p_partkey::varchar, 9, '0') as c from part"),
     "rows_sliced": (_q(lambda o: o.orderBy("o_orderkey").offset(100).limit(50).select("o_orderkey"), "orders"), "select o_orderkey from orders order by o_orderkey limit 50 offset 100"),
+    "sizes_made": (
+        _q(lambda p: p.select("p_partkey", first_size_udf(T.clean_string(_sold(p))).alias("s")).select("p_partkey", "s.digits", "s.unit"), "part"),
+        "select p_partkey, cast(case when p_size < 10 then p_size * 1000 when p_size < 20 then 2 * p_size * 1000 when p_size < 30 then 750 when p_size < 40 then p_size else p_size end as double) as digits, case when p_size < 10 then 'gr' when p_size < 30 then 'ml' when p_size < 40 then 'adet' else 'yıkama' end as unit from part",
+    ),
+    "names_made": (
+        _q(lambda p: p.select("p_partkey", clean_name_udf(T.clean_string(_sold(p))).alias("c")).select("p_partkey", "c.clean_name", F.size("c.sizes").cast("long").alias("n_sizes"), F.array_join("c.codes", ",").alias("codes")), "part"),
+        "select p_partkey, p_name || ' set' as clean_name, case when p_size >= 40 then 2 else 1 end as n_sizes, '12345678' as codes from part",
+    ),
     # files and pages
     "files_json": (_q(_json, "part"), "select p_partkey, p_name, p_size from part"),
     "files_csv": (_q(_csv, "part"), "select p_partkey, p_name || ' \"a\", b' as p_name from part"),
@@ -201,9 +240,20 @@ FUNCTIONS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
            g as (select distinct split_part(regexp_replace(link, '/$', ''), '?', 1) as link from p where m = 'sahilmar' and contains(link, '?v=') and not regexp_matches(string_split(split_part(link, '?', 1), '/')[-1], '^[0-9]*$'))
            select m as market, count(*) as n from p where link is null or link not in (select link from g) group by 1""",
     ),
-    "product_containment": (_q(lambda k: products.containment_edges(k.where("sku_id is not null and name is not null").groupBy("sku_id").agg(F.collect_set(F.lower("name")).alias("clean_names"))), "skus"), None),
-    "sku_id_choice": (_q(lambda r: reduce.sku_ids(r.where("doc_id is not null and market is not null").select(F.col("market").alias("component"), "doc_id", "sku_id", "ord", F.lit(False).alias("is_clone"))), "raw_docs"), None),
+    "product_containment": (
+        _q(lambda k: products.containment_edges(k.where("sku_id is not null and name is not null").groupBy("sku_id").agg(F.collect_set(_low("name")).alias("clean_names"))), "skus"),
+        f"""with n as (select distinct sku_id, lower(replace(name, 'İ', 'i')) as name from skus where sku_id is not null and name is not null), m as (select sku_id, count(*) as m from n group by 1),
+            t as (select sku_id, t, count(*) as c from (select sku_id, unnest(list_distinct({WS('name')})) as t from n) group by 1, 2), g as (select sku_id, list(t) as ts, coalesce(list(t) filter (c = m), []) as common from t join m using (sku_id) group by 1),
+            h as (select a.sku_id as src, b.sku_id as dst, row_number() over (partition by a.sku_id order by len(b.common) desc, b.sku_id) as rn from g a join g b on a.sku_id <> b.sku_id and list_has_all(b.ts, a.ts) and list_has_all(a.ts, b.common)) select src, dst from h where rn = 1""",
+    ),
+    "sku_id_choice": (
+        _q(lambda r: reduce.sku_ids(r.where("doc_id is not null and market is not null").select(F.col("market").alias("component"), "doc_id", "sku_id", "ord", F.lit(False).alias("is_clone"))), "raw_docs"),
+        """with d as (select market as c, doc_id, sku_id, ord from raw_docs where doc_id is not null and market is not null), f as (select c, min(doc_id) as least from d group by 1), p as (select c, sku_id, count(*) as n, min(ord) as first from d where sku_id <> '' group by 1, 2),
+           t as (select *, row_number() over (partition by c order by n desc, first) as rn from p), w as (select t.c, t.sku_id, row_number() over (partition by t.sku_id order by f.least) as r from t join f using (c) where rn = 1), won as (select c, sku_id from w where r = 1)
+           select c as component, sku_id from won union all select c, least from f where c not in (select c from won) and least not in (select sku_id from won)""",
+    ),
     # enrichment
+    "subcat_partial": (_q(lambda k: enrich.subcat_partial(_named(k), _voted(k)), "skus"), f"with {PARTIAL} select uid, subcat, win as window from partial where rn = 1".replace("as window", 'as "window"')),
     "values_cleaned": (
         _q(lambda k: prep.with_clean(k.select("ord", "category"), "category", k.where("category is not null").select(F.col("category").alias("original"), F.concat(F.lit("> "), "category").alias("clean")).distinct().where(F.length("original") > 5)), "skus"),
         "select ord, case when length(category) > 5 then '> ' || category end as category from skus",
@@ -241,4 +291,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for k, (_, s) in FUNCTIONS.items() if s}
+    return {k: s for k, (_, s) in FUNCTIONS.items() if s} | {"subcat_cascade": CASCADE}
