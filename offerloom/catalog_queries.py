@@ -227,7 +227,14 @@ CATALOG: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     ),
     # enrichment
     "enriched_products": (_q(_enriched, "skus"), None),
-    "brand_partial": (_q(lambda k: enrich.brand_partial(_rows(k).select("uid", "name"), _rows(k).select("uid", "brand")), "skus"), None),
+    "brand_partial": (
+        _q(lambda k: enrich.brand_partial(_rows(k).select("uid", "name"), _rows(k).select("uid", "brand")), "skus"),
+        f"""with {ROWS}, n as (select distinct uid, name, {WS('name')} as ws from rows), b as (select distinct uid, brand, {WS('brand')} as s from rows), c as (select * from n join b using (uid) where not contains(name, brand) and len(s) > 1),
+            w as (select uid, brand, s, unnest(list_transform(range(1, greatest(len(ws) - len(s) + 2, 1)), lambda i: ws[i:i + len(s) - 1])) as w, unnest(range(1, greatest(len(ws) - len(s) + 2, 1))) as i, name from c),
+            h as (select uid, brand, name, arg_min(array_to_string(w, ' '), i) as win from w where (len(list_intersect(w, s)) > 1 or (len(list_intersect(w, s)) = 1 and length(list_intersect(w, s)[1]) > 3))
+              and len(list_filter(list_zip(w, s), lambda p: not (starts_with(p[1], p[2]) or starts_with(p[2], p[1])))) = 0 and len(list_filter(list_zip(w, s), lambda p: p[1] <> p[2] and length(p[1]) = 1)) < 2 group by 1, 2, 3)
+            select uid, brand, min(win) as "window" from h group by 1, 2""",
+    ),
     "subcat_parents": (
         _q(lambda k: enrich.subcat_parents(_rows(k).select("uid", F.lit(0).alias("pos"), "name"), _rows(k).select("uid", F.col("subcat").alias("parent"))), "skus"),
         f"with {ROWS}, h as (select distinct a.uid, b.subcat from rows a join rows b using (uid) where b.subcat <> '' and contains(a.name, b.subcat) and len(list_filter({WS('b.subcat')}, lambda t: not list_contains({WS('a.name')}, t))) = 0), r as (select *, row_number() over (partition by uid order by length(subcat) desc, subcat) as rn from h) select uid, subcat from r where rn = 1",
