@@ -286,9 +286,20 @@ FUNCTIONS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
 }
 
 
+PLAIN_COUNTS = r"m as (select s, count(*) as n from (select trim(regexp_replace(strip_accents(replace(lower(replace(category, 'İ', 'i')), 'ı', 'i')), '\s+', ' ', 'g')) as s from skus where category is not null) where s <> '' group by 1)"
+#: SQL of queries that stand in ``queries``.
+MORE_SQL = {
+    "subcat_cascade": CASCADE,
+    "sub_brands": f"with {SB} select subcat, brand, wg, count from sb".replace(ROWS, "rows as (select p_type as subcat, p_brand as brand, p_partkey::varchar as uid, p_name as name from part)"),
+    "subcat_merge_prefix": f"with {PLAIN_COUNTS}, h as (select a.s, b.s as o, row_number() over (partition by a.s order by b.n desc, b.s) as rn from m a join m b on starts_with(b.s, a.s) and length(b.s) - length(a.s) between 1 and 3 where length(a.s) > 7) select s as subcat, o as merged from h where rn = 1",
+    "subcat_merge_subset": f"""with {PLAIN_COUNTS}, t as (select s, n, list_distinct(string_split(s, ' ')) as ts from m where contains(s, ' ')),
+        h as (select a.s, b.s as o, row_number() over (partition by a.s order by b.n desc, b.s) as rn from t a join t b on a.s <> b.s and list_has_all(a.ts, b.ts) where len(b.ts) < len(a.ts) or b.n > a.n or (b.n = a.n and b.s < a.s)) select s as subcat, o as merged from h where rn = 1""",
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, (f, _) in FUNCTIONS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for k, (_, s) in FUNCTIONS.items() if s} | {"subcat_cascade": CASCADE}
+    return {k: s for k, (_, s) in FUNCTIONS.items() if s} | MORE_SQL
