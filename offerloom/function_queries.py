@@ -14,7 +14,8 @@ from offerloom.functions import text as T
 from offerloom.functions.barcode import url_barcode
 from offerloom.functions.names import clean_name_udf, first_size_udf
 from offerloom.functions.price import locale_price
-from offerloom.operators import edges, enrich, prep, products, reduce, search, sync, topics
+from offerloom.functions.sql import register
+from offerloom.operators import edges, enrich, prep, products, reduce, reports, search, sync, topics
 from offerloom.plans import rebuild
 from offerloom.session import ensure_checkpoint_dir
 from offerloom.sources import connectors as cn
@@ -60,6 +61,11 @@ def _export(k: DataFrame) -> DataFrame:
     return k.sparkSession.read.option("header", True).schema("sku_id string, market string, ord long").csv(at).select("sku_id", F.coalesce("market", F.lit("")).alias("market"), "ord")
 
 
+def _in_sql(spark: SparkSession, folder: str) -> DataFrame:
+    register(spark)
+    return spark.sql("select ord, offer_strip_trailing_slash(link) as link, offer_convert_price(price) as price, coalesce(offer_contains_words(lower(name), 'sabun'), false) as soap from {i}", i=table(spark, folder, "items"))
+
+
 #: A shop of each kind of page, for pages rendered from the tables.
 SHOPS = {
     "html": cn.Source("html", "html", "<li>.*?</li>", fields={"link": 'href="(.*?)"', "name": "<b>(.*?)</b>", "price": "<i>(.*?)</i>", "src": 'src="(.*?)"'}, price="S", base="https://s", barcode_from="src"),
@@ -208,6 +214,23 @@ FUNCTIONS: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]
         _q(lambda p: p.select("p_partkey", clean_name_udf(T.clean_string(_sold(p))).alias("c")).select("p_partkey", "c.clean_name", F.size("c.sizes").cast("long").alias("n_sizes"), F.array_join("c.codes", ",").alias("codes")), "part"),
         "select p_partkey, p_name || ' set' as clean_name, case when p_size >= 40 then 2 else 1 end as n_sizes, '12345678' as codes from part",
     ),
+    "sql_functions": (
+        lambda s, d: _in_sql(s, d),
+        r"""select ord, regexp_replace(link, '/$', '') as link, round(try_cast(case when regexp_matches(p, '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$') then p end as double), 2) as price, coalesce(contains(lower(name), 'sabun') and list_contains(list_filter(regexp_split_to_array(trim(lower(name)), '\s+'), lambda t: t <> ''), 'sabun'), false) as soap
+            from (select *, regexp_replace(lower(price), 'tl|₺|try|[ ]', '', 'g') as p from items)""",
+    ),
+    "category_order": (
+        _q(lambda p: reports.category_tree(p.select(F.col("p_type").alias("cat"), F.col("p_brand").alias("subcat")), p.where("p_size < 3").groupBy(F.col("p_type").alias("cat")).agg(F.min("p_partkey").alias("place"), F.max("p_name").alias("icon"))).select("cat", C.sorted_text(F.col("children")).alias("children"), "place", "icon"), "part"),
+        "select p_type as cat, string_agg(distinct p_brand, ',' order by p_brand) as children, min(p_partkey) filter (p_size < 3) as place, max(p_name) filter (p_size < 3) as icon from part group by 1",
+    ),
+    "promoted_allowed": (
+        _q(lambda r: prep.promoted_links(r, ("paket", "kavsak")).where("promoted is not null").select("ord", C.sorted_entries(F.col("promoted")).alias("p")), "raw_docs"),
+        "select ord, string_agg(e.key || '=' || regexp_replace(regexp_replace(e.value, '[?&](gclid|utm).*$', ''), '/$', ''), ',' order by e.key || '=' || e.value) as p from (select ord, unnest(map_entries(promoted)) as e from raw_docs) where contains(e.key, 'paket') or contains(e.key, 'kavsak') group by 1",
+    ),
+    "names_in_full": (
+        _q(lambda k: enrich.names_in_full(_named(k), enrich.subcat_partial(_named(k), _voted(k))), "skus"),
+        f"with {PARTIAL} select nm.uid, pos, case when win is not null then replace(name, win, p.subcat) else name end as name from nm left join (select * from partial where rn = 1) p using (uid)",
+    ),
     # files and pages
     "files_json": (_q(_json, "part"), "select p_partkey, p_name, p_size from part"),
     "files_csv": (_q(_csv, "part"), "select p_partkey, p_name || ' \"a\", b' as p_name from part"),

@@ -69,6 +69,12 @@ def subcat_partial(names: DataFrame, subcats: DataFrame) -> DataFrame:
     return top_per(tried.where("window is not null"), ["uid"], [F.col("n").desc(), F.col("at"), F.col("pos")]).select("uid", "subcat", "window")
 
 
+def names_in_full(names: DataFrame, partial: DataFrame) -> DataFrame:
+    """``names`` in which the words that abbreviate a product's sub-category (``partial``: uid, subcat, window) are replaced by it, wherever they stand."""
+    full = names.join(partial.select("uid", F.col("subcat").alias("_s"), "window"), "uid", "left")
+    return full.withColumn("name", F.when(F.col("window").isNotNull(), F.replace("name", F.col("window"), F.col("_s"))).otherwise(F.col("name"))).select(names.columns)
+
+
 def subcat_majority(subcats: DataFrame) -> DataFrame:
     """``uid, subcat``: the one most frequent; none if another is as frequent."""
     f = subcats.groupBy("uid", "subcat").agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,7 @@ from offerloom import constants as K
 from offerloom.functions.barcode import clean_barcodes
 from offerloom.functions.collections import drop_empty
 from offerloom.functions.names import clean_name_udf
-from offerloom.functions.text import category_parts, clean_string, contains_words, singular, strip_trailing_slash
+from offerloom.functions.text import category_parts, clean_string, contains_words, singular, strip_tracking, strip_trailing_slash
 
 
 def keyed_docs(raw: DataFrame) -> DataFrame:
@@ -70,6 +70,13 @@ def is_bad_subcat(c: Column) -> Column:
     return F.coalesce(bad, F.lit(True))
 
 
+def promoted_links(docs: DataFrame, markets: tuple[str, ...]) -> DataFrame:
+    """``promoted`` cut down to sellers whose name holds an allowed market, their links without tracking; null where none is left."""
+    kept = F.map_filter("promoted", lambda k, _: F.exists(F.array(*map(F.lit, markets)), lambda m: F.contains(F.lower(k), m)))
+    kept = F.transform_values(kept, lambda _, v: strip_tracking(v))
+    return docs.withColumn("promoted", F.when(F.size(kept) > 0, kept))
+
+
 def variant_pages(docs: DataFrame) -> DataFrame:
     """Docs and, as docs of their own, the pages their variant maps list and no doc has; such a page takes its market and brand from the doc and its colour from the map."""
     pages = docs.where("doc_id is not null").select("*", F.explode("variants").alias("_page", "_color")).withColumn("link", strip_trailing_slash("_page"))

@@ -38,9 +38,13 @@ def availability(wide: DataFrame, key: str) -> DataFrame:
     return long.groupBy(key).agg(F.array_sort(F.collect_list("market")).alias("markets"))
 
 
-def category_tree(rows: DataFrame) -> DataFrame:
-    """``cat, children``: sub-categories of each category in order; rows have ``cat, subcat``."""
-    return rows.distinct().groupBy("cat").agg(F.array_sort(F.collect_list("subcat")).alias("children"))
+def category_tree(rows: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """``cat, children``: sub-categories of each category in order; rows have ``cat, subcat``.
+
+    With ``order`` (``cat, place, icon``) also ``place`` and ``icon``; categories it doesn't name have neither.
+    """
+    tree = rows.distinct().groupBy("cat").agg(F.array_sort(F.collect_list("subcat")).alias("children"))
+    return tree if order is None else tree.join(order.dropDuplicates(["cat"]), "cat", "left").select("cat", "children", "place", "icon")
 
 
 def leaf_categories(tree: DataFrame) -> DataFrame:

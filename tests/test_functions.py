@@ -105,3 +105,17 @@ def test_collections(spark):
 def test_measured(spark, s, num, pack, unit):
     got = one(spark, measured, s)
     assert (got and (float(got.num), got.pack, got.spelling)) == (None if num is None else (num, pack, unit))
+
+
+def test_sql_names_say_the_same(spark):
+    from offerloom.functions import sql
+    from offerloom.functions.barcode import search_barcode
+
+    assert "offer_gtin" in sql.register(spark) and sql.register(spark)
+    texts = ["kalemleri", "a", "", None, "b  a c", "x/?utm=1", "x/", "1.234,5 TL", "12.50 TL", "1.2.3", "çay, süt ve bal", "2000000001302", "EAN 02000000001302", "1234567890123", "00123", "01234567890123"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    df.createOrReplaceTempView("texts_of_test")
+    for name, f in {"strip_trailing_slash": T.strip_trailing_slash, "strip_tracking": T.strip_tracking, "singular": T.singular, "sorted_words": T.sorted_words, "category_parts": T.category_parts, "convert_price": convert_price, "search_barcode": search_barcode, "gtin": gtin}.items():
+        mine = [r[0] for r in spark.sql(f"select offer_{name}(x) from texts_of_test").collect()]
+        assert mine == [r[0] for r in df.select(f(F.col("x"))).collect()], name
+    assert spark.sql("select offer_contains_words('a b', 'b'), offer_contains_words('ab', 'b')").first()[:] == (True, False)
