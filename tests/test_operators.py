@@ -195,3 +195,20 @@ def test_entry_names(spark):
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and len(q) > 50
     assert e.entry(spark).select(F.count("*")).first()[0] > 0
+
+
+CLASH = ("state", "at", "day", "bucket", "carried", "u", "v", "x", "y", "m", "num", "word", "spelling", "factor", "t", "m1", "m2", "rec_table")
+
+
+def test_history_and_units_bear_dirt(spark):
+    """Nulls in any column, very long texts, repeated rows, ties, clashing extra columns, empty tables."""
+    clash = lambda df: df.withColumns({c: F.lit("clash") for c in CLASH if c not in df.columns})
+    t = "2020-01-01 00:00:00"
+    rows = [("l", "5", None, t, 1), ("l", "5", None, t, 1), ("l", "7", None, t, None), ("l", "9" * 50_000, None, "2020-01-02 00:00:00", 2), ("l", None, None, "2020-01-03 00:00:00", 3), ("l", "5", None, None, 4), (None, "5", True, t, 5), ("", "6", True, t, 6)]
+    items = clash(spark.createDataFrame(rows, "link string, price string, out_of_stock boolean, ts string, ord long").withColumn("ts", F.col("ts").cast("timestamp")))
+    raw = clash(spark.createDataFrame([("d", 1, "l", "Krem 10 ml " + "x" * 50_000, None, None, None, None, {"8": "no time", "3": None, "2": "2020-01-04"}), ("d", 1, None, "", None, None, None, None, None), (None, None, None, None, None, None, None, None, {})], DOC))
+    got = {(r.link, r.valid_from, r.price) for r in history.history(items, raw).collect()}
+    assert got == {("l", 1577836800, 5.0), ("l", 1578096000, 2.0), ("", 1577836800, None)}
+    skus = clash(spark.createDataFrame([(1, ["d", None, "d"], "1" * 40 + " ml", None, None), (None, None, "3 lt", float("inf"), "ml"), (2, [], " ", 2.0, ""), (3, None, None, 2.0, "Kg")], "ord long, doc_ids array<string>, size string, digits double, unit string"))
+    assert {tuple(r) for r in units.common_quantities(raw, skus).collect()} == {("raw_docs", 1, "ml", 10000), ("skus", None, "ml", 3000000), ("skus", 3, "gr", 2000000)}
+    assert units.common_quantities(raw.limit(0), skus.limit(0)).count() == 0
