@@ -48,6 +48,7 @@ BEGINS = np.array([x[0] == "B" for x in LABELS])
 AT = r"(?:@|\[ ?at ?\]|\( ?at ?\)|\{at\})"
 DOT = r"(?:\.|\[ ?\. ?\]|\(\.\)|\[dot\]|\(dot\)|\[nokta\])"
 EMAIL_END = re.compile(rf"\s?{AT}\s?[\w-]+(?:{DOT}[\w-]+)+", re.I)
+AT_SIGN, DIGIT = re.compile(r"@|at ?[\])}]", re.I), re.compile(r"\d")
 EMAIL_LOCAL = re.compile(r"[\w.+%-]")
 PHONES = re.compile(
     r"(?<![\w+])(?:"
@@ -92,14 +93,14 @@ def national_id(digits: str) -> bool:
 def shapes(text: str) -> list[tuple[int, int, str]]:
     """Spans that have the shape of an item, names left out; they may overlap."""
     out = []
-    if "@" in text or "at]" in text.lower() or "at)" in text.lower() or "{at}" in text.lower():
+    if AT_SIGN.search(text):
         for m in EMAIL_END.finditer(text):
             a = m.start()
             while a and EMAIL_LOCAL.match(text[a - 1]):
                 a -= 1
             if a < m.start():
                 out.append((a, m.end(), "email"))
-    if any(c.isdigit() for c in text):
+    if DIGIT.search(text):
         out += [(m.start(), m.end(), "address") for m in ADDRESSES.finditer(text)]
         for m in IDS.finditer(text):
             s = m.group().replace(" ", "")
@@ -454,12 +455,17 @@ def find_in(texts: list[str], model: Model) -> dict[str, list[tuple[int, int, st
 
 
 def sample_texts(documents: DataFrame, text_col: str = "text", most: int = SAMPLE) -> list[str]:
-    """At most ``most`` different texts in hash order: three quarters that a labelling function may label, the rest any others."""
+    """At most ``most`` different texts: three quarters that a labelling function may label, the rest any others.
+
+    Texts fall into as many hash buckets as the sample has places, and the first in hash order of each is
+    taken: one pass over all texts with a partial aggregate.
+    """
     cue = "|".join(re.escape(c) for c in NAME_CUES)
     rich = F.col(text_col).rlike(rf"(?i)@|[0-9]{{6}}|[\[(]at[\])]|{cue}|(mah|cad|rue|calle|lane|road|avenue|stra)")
-    rows = documents.where(f"{text_col} is not null").select(text_col, rich.alias("rich"), F.xxhash64(text_col).alias("h")).distinct()
-    took = [r[0] for r in rows.where("rich").orderBy("h", text_col).limit(most * 3 // 4).collect()]
-    return took + [r[0] for r in rows.where("not rich").orderBy("h", text_col).limit(most - len(took)).collect()]
+    h, many = F.xxhash64(text_col), most * 3 // 4
+    place = F.when(rich, F.pmod(h, F.lit(many))).otherwise(many + F.pmod(h, F.lit(most - many)))
+    first = documents.where(f"{text_col} is not null").groupBy(place.alias("place")).agg(F.min(F.struct(h.alias("h"), F.col(text_col).alias("t")))["t"].alias("t"))
+    return [r.t for r in first.orderBy("place").collect()]
 
 
 def _decode(documents: DataFrame, id_col: str, text_col: str, schema: pa.Schema, ddl: str, emit) -> DataFrame:
