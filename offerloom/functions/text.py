@@ -56,10 +56,11 @@ def accent_fold(c: Column | str) -> Column:
     """Characters whose decomposition is ASCII become it, whether one character or several; others stay."""
     one, many = ascii_fold_map()
     c = F.translate(_as_col(c), "".join(one), "".join(one.values()))
-    several = F.create_map(*[F.lit(x) for kv in many.items() for x in kv])
-    spelt_out = F.array_join(F.transform(F.split(c, ""), lambda ch: F.coalesce(several[ch], ch)), "")
-    # few texts have such a character, so only they are taken apart
-    return F.when(c.rlike("[" + "".join(many) + "]"), spelt_out).otherwise(c)
+    # two literals instead of one for each entry: the optimiser makes them one map, the driver has less to build
+    several = F.map_from_arrays(F.split(F.lit("\n".join(many)), "\n"), F.split(F.lit("\n".join(many.values())), "\n"))
+    spelt_out = lambda x: F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(several[ch], ch)), "")
+    # few texts still have a foreign character, so only they are taken apart
+    return F.get(F.transform(F.array(c), lambda x: F.when(x.rlike(r"[^\x00-\x7Fı]"), spelt_out(x)).otherwise(x)), F.lit(0))
 
 
 def squeeze(c: Column | str) -> Column:
