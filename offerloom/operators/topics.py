@@ -1,15 +1,16 @@
-"""Sub-category prediction and topics with Spark's own learners."""
+"""Sub-category prediction, and topics with Spark's own learners."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import NaiveBayes
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, NGram, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, NGram, RegexTokenizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
@@ -22,18 +23,87 @@ from offerloom.session import cut
 #: Iterations of the topic learner, each over as many documents as there are.
 PASSES = 20
 
+#: Words of the labels in a block, and of the texts in a chunk, which one worker holds together when labels are predicted.
+ENTRIES = 1_000_000
+
+#: Scores that differ by less are equal: only the order of adding sets them apart.
+TIE = 1e-10
+
+
+def _best_labels(vocabulary: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """For a chunk of texts (``text, words``) and a block of labels (``label, docs, total, words, counts``): each text's best label of the block.
+
+    With smoothing 1 a word that a label lacks adds nothing but the label's denominator, so a score is the
+    label's prior, less its log denominator a word, plus log(1 + count) of the words both have.
+    """
+
+    def run(texts: pa.Table, labels: pa.Table) -> pa.Table:
+        if not (vocabulary and texts.num_rows and labels.num_rows):
+            return pa.table({"text": pa.array([], pa.string()), "label": pa.array([], pa.string()), "score": pa.array([], pa.float64())})
+        labels = labels.sort_by("label")
+        n = labels.num_rows
+        prior, per_word = np.log1p(labels["docs"].to_numpy()), np.log(labels["total"].to_numpy() + vocabulary)
+        own = texts["words"].combine_chunks()
+        ends = np.cumsum(pc.list_value_length(own).to_numpy())
+        vocab = pc.unique(own.flatten())
+        ids = pc.index_in(own.flatten(), value_set=vocab).to_numpy()
+        theirs = labels["words"].combine_chunks()
+        at = pc.fill_null(pc.index_in(theirs.flatten(), value_set=vocab), -1).to_numpy()
+        order = np.argsort(at, kind="stable")[np.count_nonzero(at < 0) :]
+        who = np.repeat(np.arange(n), pc.list_value_length(theirs).to_numpy())[order]
+        gain = np.log1p(labels["counts"].combine_chunks().flatten().to_numpy()[order])
+        bounds = np.searchsorted(at[order], np.arange(len(vocab) + 1))
+        full: dict[int, np.ndarray] = {}  # words that a quarter of the labels have, as whole rows: at most four times the entries
+        for w in np.nonzero(np.diff(bounds) * 4 > n)[0].tolist():
+            full[w] = np.zeros(n)
+            full[w][who[bounds[w] : bounds[w + 1]]] = gain[bounds[w] : bounds[w + 1]]
+        best, top, begin = np.empty(len(ends), "int64"), np.empty(len(ends)), 0
+        for i, end in enumerate(ends.tolist()):
+            s = prior - (end - begin) * per_word
+            for w in ids[begin:end].tolist():
+                if w in full:
+                    s += full[w]
+                else:
+                    s[who[bounds[w] : bounds[w + 1]]] += gain[bounds[w] : bounds[w + 1]]
+            top[i] = s.max()
+            best[i] = np.argmax(s >= top[i] - TIE)
+            begin = end
+        return pa.table({"text": texts["text"], "label": labels["label"].take(pa.array(best)), "score": pa.array(top)})
+
+    return run
+
 
 def predict_labels(train: DataFrame, test: DataFrame, text: str = "name", label: str = "subcat", key: str = "uid") -> DataFrame:
-    """``key, label``: multinomial naive Bayes over words of two characters or more (smoothing 1)."""
-    pipe = Pipeline(stages=[
-        StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc"), RegexTokenizer(inputCol=text, outputCol="_w", gaps=False, pattern=r"\w{2,}"),
-        CountVectorizer(inputCol="_w", outputCol="_x"), NaiveBayes(featuresCol="_x", labelCol="_y", predictionCol="_p", smoothing=1.0)])
-    model = pipe.fit(train.where(F.col(text).isNotNull() & F.col(label).isNotNull()))
-    names = model.stages[0].labels
-    out = test.where(F.col(text).isNotNull())
-    for stage in model.stages[1:]:
-        out = stage.transform(out)
-    return IndexToString(inputCol="_p", outputCol="_l", labels=names).transform(out).select(key, F.col("_l").alias(label))
+    """``key, label``: multinomial naive Bayes over words of two characters or more (smoothing 1); of equal labels the first.
+
+    Neither model nor vocabulary is ever whole in one place: only counts that aren't 0 are kept, and texts
+    in chunks meet labels in blocks, whose number grows with both; what a label shares with the texts lies
+    in one block. No word is left out. Without any word or label in ``train`` nothing is predicted.
+    """
+    split = RegexTokenizer(inputCol="text", outputCol="_w", gaps=False, pattern=r"\w{2,}")
+    # besides its words every text has the word "", which no text can have otherwise: it counts a label's texts and keeps texts without words
+    each = lambda t: split.transform(t).select(*t.columns, F.explode(F.concat(F.array(F.lit("")), "_w")).alias("w"))
+    rows = train.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text")).where("label is not null and text is not null")
+    counts = cut(each(rows).groupBy("label", "w").agg(F.count(F.lit(1)).alias("n")))
+    vocab = cut(counts.select("w").distinct())
+    asked = test.where(F.col(text).isNotNull()).select(F.col(key), F.col(text).alias("_text"))
+    words = each(asked.select(F.col("_text").alias("text")).distinct()).join(vocab, "w", "left_semi")
+    texts = cut(words.groupBy("text").agg(F.array_remove(F.collect_list("w"), "").alias("words")))
+    used = counts.join(texts.select(F.explode("words").alias("w")).distinct(), "w", "left_semi").groupBy("label").agg(F.collect_list(F.struct("w", "n")).alias("x"))
+    sums = counts.groupBy("label").agg(F.sum(F.when(F.col("w") == "", F.col("n"))).alias("docs"), F.sum(F.when(F.col("w") != "", F.col("n"))).alias("total"))
+    x = F.coalesce("x", F.array().cast("array<struct<w:string,n:bigint>>"))
+    model = cut(sums.join(used, "label", "left").select("label", "docs", F.coalesce("total", F.lit(0)).alias("total"), F.transform(x, lambda e: e["w"]).alias("words"), F.transform(x, lambda e: e["n"]).alias("counts")))
+
+    size = lambda t: t.agg(F.sum(F.size("words") + 1)).first()[0] or 1
+    blocks, asks = math.ceil(size(model) / ENTRIES), size(texts)
+    chunks = max(math.ceil(asks / ENTRIES), min(math.ceil(asks / 5000), 2 * train.sparkSession.sparkContext.defaultParallelism))
+    over = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = texts.withColumn("chunk", F.pmod(F.xxhash64("text"), F.lit(chunks)).cast("int")).withColumn("block", over(blocks))
+    right = model.withColumn("block", F.pmod(F.xxhash64("label"), F.lit(blocks)).cast("int")).withColumn("chunk", over(chunks))
+    found = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(_best_labels(max(vocab.count() - 1, 0)), "text string, label string, score double")
+    first = F.array_min(F.transform(F.filter("e", lambda y: y["score"] >= F.col("m") - TIE), lambda y: y["label"]))
+    best = found.groupBy("text").agg(F.max("score").alias("m"), F.collect_list(F.struct("label", "score")).alias("e")).select(F.col("text").alias("_text"), first.alias(label))
+    return asked.join(best, "_text").select(key, label)
 
 
 def lda_topics(rows: DataFrame, text: str = "text", k: int = 7, vocabulary: int = 800, seed: int = 0) -> DataFrame:
